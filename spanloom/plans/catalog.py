@@ -50,7 +50,7 @@ def _concept_diff(spark: SparkSession, d: str) -> DataFrame:
 
 @query("p2_found", _CURRENT + "select concept_id, diff from d")
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    return _concept_diff(spark, d).select("concept_id", "diff")
+    return _concept_diff(spark, d)
 
 
 @query("p2_summary", _CURRENT + "select diff, count(*) as n from d group by diff")
