@@ -41,6 +41,16 @@ def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if fits_broadcast(df, max_rows) else df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows out anew if a small input has fewer partitions than there are cores.
+
+    A large input has many splits and isn't touched; one file of one row group would otherwise
+    keep a Python stage on a single core.
+    """
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(2 * wanted)
+
+
 def scratch_name(taken: list[str], stem: str) -> str:
     """A column name that none of ``taken`` clashes with (case-insensitively, as Spark compares)."""
     low = {t.lower() for t in taken}
