@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanloom.llm.leakage import find_leaks
+from spanloom.llm.lookalike import learn, to_consistent
+from spanloom.llm.mapping import map_values
 from spanloom.llm.packing import pack_texts, packing_report
 from spanloom.llm.splitting import split_oversized
 from spanloom.plans.runtime import read_table
@@ -24,6 +26,70 @@ def query(name: str, sql: str | None = None):  # noqa: ANN201
     return add
 
 
+# --- problem 3: one consistent form --------------------------------------------------------------
+
+
+def _aliases(spark: SparkSession, d: str) -> DataFrame:
+    """(code, elem, text) of every alias."""
+    return read_table(spark, d, "terminology").select("code", F.posexplode("aliases").alias("elem", "text")).distinct()
+
+
+def _table(spark: SparkSession, d: str) -> tuple:
+    """The rewriting table learnt from all concept texts and all aliases."""
+    return learn(read_table(spark, d, "concepts_a").select("text").unionByName(_aliases(spark, d).select("text")))
+
+
+@query("p3_forms")
+def p3_forms(spark: SparkSession, d: str) -> DataFrame:
+    """Every concept text with its consistent form."""
+    return to_consistent(read_table(spark, d, "concepts_a"), "concept_id", "text", _table(spark, d))
+
+
+@query("p3_found")
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    table = _table(spark, d)
+    texts = to_consistent(read_table(spark, d, "concepts_a"), "concept_id", "text", table, changed_only=True)
+    aliases = _aliases(spark, d).withColumn("key", F.to_json(F.struct("code", "elem")))
+    other = to_consistent(aliases, "key", "text", table, changed_only=True)
+    key = F.from_json("key", "code string, elem int")
+    return (
+        texts.select(F.lit("concepts_a.text").alias("field"), F.col("concept_id").cast("string").alias("row_key"), F.lit(0).alias("elem"))
+        .unionByName(other.select(F.lit("terminology.aliases").alias("field"), key.code.alias("row_key"), key.elem.alias("elem")))
+        .distinct()
+    )
+
+
+# --- problem 4: values mapped to the terminology -------------------------------------------------
+
+_SYSTEM = {"CHẨN_ĐOÁN": "icd10", "THUỐC": "rxnorm"}
+
+
+def _mapped(spark: SparkSession, d: str) -> DataFrame:
+    terms = read_table(spark, d, "terminology")
+    names = terms.select(
+        "code", F.col("system").alias("grp"), F.explode(F.concat(F.array("label"), F.coalesce("aliases", F.array().cast("array<string>")))).alias("name")
+    )
+    system = F.lit(None).cast("string")
+    for kind, name in _SYSTEM.items():
+        system = F.when(F.col("type") == kind, name).otherwise(system)
+    values = read_table(spark, d, "concepts_a").withColumn("grp", system).where("grp is not null")
+    return map_values(values, names, "text", "grp", _table(spark, d))
+
+
+@query("p4_values")
+def p4_values(spark: SparkSession, d: str) -> DataFrame:
+    """Every distinct value with its code, score and the reason if it has none."""
+    return _mapped(spark, d).select("text", "grp", "code", F.round("score", 4).alias("score"), "reason")
+
+
+@query("p4_found")
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    system = F.when(F.col("type") == "CHẨN_ĐOÁN", "icd10").when(F.col("type") == "THUỐC", "rxnorm")
+    concepts = read_table(spark, d, "concepts_a").select("concept_id", "text", system.alias("grp")).where("grp is not null and text is not null")
+    mapped = _mapped(spark, d).select("text", "grp", F.coalesce("code", F.lit("-")).alias("code"))
+    return concepts.join(mapped, ["text", "grp"]).select("concept_id", "code").distinct()
+
+
 # --- problem 5: oversized notes ------------------------------------------------------------------
 
 
