@@ -88,7 +88,8 @@ def rewriting(counts: dict[str, int]) -> dict[str, str]:
     """Every member of a look-alike class that isn't its representative -> the representative.
 
     ``counts`` has the frequency of code points in the data. Of the ordinary members the most
-    frequent is taken, and the one of lowest code point if they are equally frequent.
+    frequent is taken; if they are equally frequent, one that stands in for no other, and the one
+    of lowest code point.
     """
     classes = Classes()
     for a, b in edges():
@@ -96,7 +97,7 @@ def rewriting(counts: dict[str, int]) -> dict[str, str]:
     out = {}
     for members in classes.members().values():
         plain = [m for m in members if _ordinary(m)] or [min(members)]
-        best = min(plain, key=lambda m: (m != "" and m != " ", -min((counts.get(c, 0) for c in m), default=0), m))
+        best = min(plain, key=lambda m: (m != "" and m != " ", -min((counts.get(c, 0) for c in m), default=0), m in _LOOKS, m))
         out |= {m: best for m in members if m != best}
     return out
 

@@ -27,9 +27,11 @@ GRAMS = (2, 3)
 #: Least weighted cosine of an accepted candidate, and share of the best cosine up to which
 #: candidates are looked at closely (all of them: their number isn't limited).
 THRESHOLD = 0.25
-NEAR_BEST = 0.6
+NEAR_BEST = 0.4
 #: Least lead, in cosine, over the best candidate of another entry that reads as well.
 MARGIN = 0.02
+#: Normalised values whose result a worker keeps at hand.
+KNOWN_VALUES = 200_000
 #: Names sent to the workers at once; a longer list is matched in blocks of about this size.
 NAME_BLOCK = 100_000
 
@@ -121,6 +123,7 @@ class Index:
             self.exact[group, text].add(code)
             by_group[group].append(len(self.names))
             self.names.append((code, amounts, tuple(words)))
+        self.known: dict[tuple, tuple[str | None, float, str]] = {}
         self.groups = {g: GroupPostings([self.names[i] for i in at], at) for g, at in by_group.items()}
 
     def fold(self, text: str) -> str:
@@ -192,6 +195,16 @@ class Index:
         if hit and len(hit) == 1:
             return next(iter(hit)), 1.0, "exact"
         words, amounts = self.words(folded, group)
+        # many values differ in case, accents, dosing or spacing only
+        key = group, tuple(words), amounts
+        if key not in self.known:
+            if len(self.known) >= KNOWN_VALUES:
+                self.known.clear()
+            self.known[key] = self.read(words, amounts, group)
+        return self.known[key]
+
+    def read(self, words: Sequence[str], amounts: frozenset, group: str) -> tuple[str | None, float, str]:
+        """``map`` for a value in words."""
         if not words:
             return None, 0.0, "no words"
         order, score = self.groups[group].candidates("".join(words))

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spanloom.llm.consensus import fit_consensus
 from spanloom.llm.leakage import find_leaks
 from spanloom.llm.lookalike import learn, to_consistent
 from spanloom.llm.mapping import map_values
 from spanloom.llm.packing import pack_texts, packing_report
+from spanloom.llm.pii import pii_spans, redacted
 from spanloom.llm.splitting import split_oversized
 from spanloom.plans.runtime import read_table
 
@@ -26,6 +28,20 @@ def query(name: str, sql: str | None = None):  # noqa: ANN201
     return add
 
 
+# --- problem 1: personal information -------------------------------------------------------------
+
+
+@query("p1_redacted")
+def p1_redacted(spark: SparkSession, d: str) -> DataFrame:
+    """Every note with its personal information replaced by placeholders."""
+    return redacted(read_table(spark, d, "input_notes"), "record_id", "raw_text")
+
+
+@query("p1_found")
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return pii_spans(read_table(spark, d, "input_notes"), "record_id", "raw_text").distinct()
+
+
 # --- problem 3: one consistent form --------------------------------------------------------------
 
 
@@ -106,6 +122,34 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return pieces.groupBy("record_id").agg((F.max("longest_run") > 2000).cast("int").alias("forced"))
 
 
+# --- problem 6: consensus ------------------------------------------------------------------------
+
+
+@query("p6_items")
+def p6_items(spark: SparkSession, d: str) -> DataFrame:
+    """Consensus, confidence and agreement of every item."""
+    items = fit_consensus(read_table(spark, d, "terra_labels")).per_item()
+    return items.withColumns({c: F.round(c, 6) for c in ("confidence", "agreement")})
+
+
+@query("p6_annotators")
+def p6_annotators(spark: SparkSession, d: str) -> DataFrame:
+    """Reliability of every annotator."""
+    return fit_consensus(read_table(spark, d, "terra_labels")).per_annotator()
+
+
+@query("p6_found")
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    items = fit_consensus(read_table(spark, d, "terra_labels")).per_item()
+    values = {
+        "type": F.col("type"),
+        "assertions": F.array_join(F.array_sort("assertions"), ","),
+        "position": F.format_string("%d-%d", "start_pos", "end_pos"),
+    }
+    rows = F.explode(F.array(*[F.struct(F.lit(k).alias("field"), v.alias("value")) for k, v in values.items()]))
+    return items.select("item_id", rows.alias("r")).select("item_id", "r.field", "r.value")
+
+
 # --- problem 7: packing --------------------------------------------------------------------------
 
 
