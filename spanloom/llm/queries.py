@@ -11,6 +11,7 @@ from spanloom.llm.lookalike import learn, to_consistent
 from spanloom.llm.mapping import map_values
 from spanloom.llm.packing import pack_texts, packing_report
 from spanloom.llm.pii import pii_spans, redacted
+from spanloom.llm.sentences import sentence_units
 from spanloom.llm.splitting import split_oversized
 from spanloom.plans.runtime import read_table
 
@@ -186,3 +187,17 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
 def p8_items(spark: SparkSession, d: str) -> DataFrame:
     """The items that leaked, and into how many documents."""
     return p8_found(spark, d).groupBy("item_id").agg(F.count("*").alias("n_docs"))
+
+
+# --- problem 9: sentence units -------------------------------------------------------------------
+
+
+@query("p9_units")
+def p9_units(spark: SparkSession, d: str) -> DataFrame:
+    """The numbered units of every document."""
+    return sentence_units(read_table(spark, d, "documents"), "doc_id", "text")
+
+
+@query("p9_found")
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return sentence_units(read_table(spark, d, "documents"), "doc_id", "text").select("doc_id", "start_pos", "end_pos").distinct()
