@@ -43,6 +43,11 @@ def latin_bases() -> tuple[str, str]:
     return "".join(src), "".join(dst)
 
 
+def bind(value: Column, f) -> Column:  # noqa: ANN001
+    """``f(value)`` with the value computed once, however often ``f`` uses it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def collapse(c: Column) -> Column:
     """Runs of white space as one blank, none at the ends."""
     return F.trim(F.regexp_replace(c, f"{WS}+", " "))
@@ -106,37 +111,29 @@ def word_error_rate(reference: Column, hypothesis: Column) -> Column:
     """Word edit distance over the reference's length; may exceed 1. An empty reference gives 0 if the
     hypothesis is empty too, else 1. Each distinct word of the two is one sign of an alphabet, so the
     built-in edit distance counts words, however many distinct words there are."""
-    r = F.filter(F.split(reference, f"{WS}+"), lambda w: w != "")
-    h = F.filter(F.split(hypothesis, f"{WS}+"), lambda w: w != "")
-    both = F.array_distinct(F.concat(r, h))
-
-    def few(words: Column) -> Column:
-        return F.array_join(F.transform(words, lambda w: F.char(F.array_position(both, w) + 127)), "")
-
-    def many(words: Column) -> Column:
-        # one sign from U+10000 on per word, as bytes of UTF-8
-        def sign(w: Column) -> Column:
-            return F.transform(
-                F.array(F.array_position(both, w).cast("long") + 65535),
-                lambda c: F.concat(
-                    F.hex(F.lit(240) + F.shiftright(c, 18)),
-                    F.hex(F.lit(128) + F.shiftright(c, 12).bitwiseAND(63)),
-                    F.hex(F.lit(128) + F.shiftright(c, 6).bitwiseAND(63)),
-                    F.hex(F.lit(128) + c.bitwiseAND(63)),
-                ),
-            )[0]
-
-        return F.decode(F.unhex(F.array_join(F.transform(words, sign), "")), "UTF-8")
-
-    distance = F.when(F.size(both) <= 120, F.levenshtein(few(r), few(h))).otherwise(F.levenshtein(many(r), many(h)))
-    n = F.size(r)
-    return (
-        F.when(reference.isNull() | hypothesis.isNull(), F.lit(None))
-        .when((n == 0) & (F.size(h) == 0), F.lit(0.0))
-        .when(n == 0, F.lit(1.0))
-        .when(reference == hypothesis, F.lit(0.0))
-        .otherwise(distance / n)
-    )
+
+    def words(c: Column) -> Column:
+        return F.filter(F.split(c, f"{WS}+"), lambda w: w != "")
+
+    def utf8(c: Column) -> Column:
+        # the sign with the number c, from U+10000 on
+        six = lambda k: F.hex(F.lit(128) + F.shiftright(c, k).bitwiseAND(63))
+        return F.concat(F.hex(F.lit(240) + F.shiftright(c, 18)), six(12), six(6), six(0))
+
+    def rate(p: Column, both: Column) -> Column:
+        def few(ws: Column) -> Column:
+            return F.array_join(F.transform(ws, lambda w: F.char(F.array_position(both, w) + 127)), "")
+
+        def many(ws: Column) -> Column:
+            return F.decode(F.unhex(F.array_join(F.transform(ws, lambda w: bind(F.array_position(both, w).cast("long") + 65535, utf8)), "")), "UTF-8")
+
+        n = F.size(p["r"])
+        distance = F.when(F.size(both) <= 120, F.levenshtein(few(p["r"]), few(p["h"]))).otherwise(F.levenshtein(many(p["r"]), many(p["h"])))
+        return F.when((n == 0) & (F.size(p["h"]) == 0), F.lit(0.0)).when(n == 0, F.lit(1.0)).otherwise(distance / n)
+
+    pair = F.struct(words(reference).alias("r"), words(hypothesis).alias("h"))
+    general = bind(pair, lambda p: bind(F.array_distinct(F.concat(p["r"], p["h"])), lambda both: rate(p, both)))
+    return F.when(reference.isNull() | hypothesis.isNull(), F.lit(None)).when(reference == hypothesis, F.lit(0.0)).otherwise(general)
 
 
 def dotted_code(c: Column) -> Column:
@@ -228,12 +225,15 @@ def chunks(text: Column, max_chars: int = 800) -> Column:
 
 def line_context(text: Column, start: Column, end: Column, line_chars: int = 300, hint_chars: int = 80) -> Column:
     """The mention's line up to ``line_chars``, behind the nearest line before it that isn't blank."""
-    above = F.split(F.substring(text, F.lit(1), start), "\n")
     behind = F.substring_index(F.substring(text, end + 1, F.length(text)), "\n", 1)
-    line = F.substring(F.concat(F.element_at(above, -1), F.substring(text, start + 1, end - start), behind), 1, line_chars)
-    earlier = F.filter(F.transform(F.slice(above, F.lit(1), F.size(above) - 1), lambda x: F.regexp_replace(x, f"^{WS}+|{WS}+$", "")), lambda x: x != "")
-    hint = F.substring(F.element_at(earlier, -1), 1, hint_chars)
-    return F.when(F.size(earlier) > 0, F.concat(F.lit("[mục: "), hint, F.lit("] "), line)).otherwise(line)
+
+    def joined(above: Column) -> Column:
+        line = F.substring(F.concat(F.element_at(above, -1), F.substring(text, start + 1, end - start), behind), 1, line_chars)
+        earlier = F.filter(F.slice(above, F.lit(1), F.size(above) - 1), lambda x: x.rlike(r"(?U)\S"))
+        last = F.try_element_at(earlier, F.lit(-1))
+        return bind(F.regexp_replace(last, f"^{WS}+|{WS}+$", ""), lambda h: F.when(h.isNotNull(), F.concat(F.lit("[mục: "), F.substring(h, 1, hint_chars), F.lit("] "), line)).otherwise(line))
+
+    return bind(F.split(F.substring(text, F.lit(1), start), "\n"), joined)
 
 
 def cache_key(parts: list[Column], length: int = 24) -> Column:
