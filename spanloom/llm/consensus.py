@@ -24,7 +24,7 @@ from spanloom.plans.runtime import spread, written
 
 ITERATIONS = 8
 #: Items on which the classifier is fitted, at most (all other statistics cover all items).
-CLASSIFIER_ITEMS = 40_000
+CLASSIFIER_ITEMS = 20_000
 #: Largest distance of a position from the true one that is told apart.
 REACH = 5
 #: Largest number of annotators, types or sets of assertions; they are parameters kept in memory.
@@ -166,7 +166,7 @@ class Model:
             self.distance[what] = c / c.sum(1, keepdims=True)
             at += n
 
-    def fit_classifier(self, sample: Flat, steps: int = 60, rate: float = 0.5, l2: float = 1e-3) -> None:
+    def fit_classifier(self, sample: Flat, steps: int = 30, rate: float = 0.5, l2: float = 1e-3) -> None:
         """Regularised softmax regression of the posteriors on the features, by adaptive gradients."""
         x = sample.features()
         for what, k in (("type", self.types), ("mark", self.marks)):

@@ -105,6 +105,11 @@ def _left(token: str) -> str:
     return _NUMBER.sub("0", token)[-24:]
 
 
+def _is_word(token: str) -> bool:
+    """True for a word in small letters that is too long, or too accented, for an abbreviation."""
+    return token.isalpha() and token.islower() and (len(token) >= WORD or not unicodedata.is_normalized("NFD", token))
+
+
 def _mark(cluster: str) -> str:
     """Kind of a mark cluster: the last final sign, and what closes behind it."""
     signs = [c for c in cluster if c in _FINAL]
@@ -266,9 +271,9 @@ def candidates(text: str, start: int, end: int, flat: bool = False) -> list[Cand
             right = "<up>"
         left = _left(token)
         if right in ("<up>", "<open>") and token.isalpha() and not flat:
-            # abbreviations in small letters are shorter or stand before numbers, and have a space behind
-            # or carry no accent
-            if (token.islower() and (len(token) >= (2 if tight else WORD) or not unicodedata.is_normalized("NFD", token))) or (tight and token.istitle() and len(token) > 2):
+            # abbreviations in small letters are shorter or stand before numbers, have a space behind
+            # and no accent
+            if _is_word(token) or (tight and (token.islower() and len(token) > 1 or token.istitle() and len(token) > 2)):
                 left = "<long>"
         mark = f"{kind}{'' if gap or script in ('han', 'kana') else '_'}|{script}"
         out.append(Candidate(at, left, _shape(token), mark, right, fixed, s - len(token)))
@@ -294,7 +299,10 @@ def context_counts(text: str) -> Counter:
             if m and m.end() == body_end:
                 s = m.start()
                 token = _before(text, start, s)
-                out[_left(token), _shape(token), f"{_mark(m.group())}|{script}", "<end>", 1] += 1
+                mark = f"{_mark(m.group())}|{script}"
+                out[_left(token), _shape(token), mark, "<end>", 1] += 1
+                if _is_word(token) and _left(token) != "<long>":
+                    out["<long>", "<long>", mark, "<end>", 1] += 1  # what it is known as before a capital
             # how lines begin is how units begin
             right, _ = _right(text, start, body_end)
             if not _ITEM.match(text, start):

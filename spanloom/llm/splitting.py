@@ -25,7 +25,11 @@ IMBALANCE = 1.0
 FORCED_STRIDE = 64
 
 _KINDS = list(PENALTY)
-_BOUNDARY = re.compile(r"(?P<paragraph>\n[^\S\n]*\n\s*)|(?P<line>\s*\n\s*)|(?P<sentence>[.!?…。！？؟।]+[\"'”’»」』)\]]*(?:\s+|(?<=[。！？]))|[。！？]+[”’」』）]*)|(?P<clause>[,;:，；：、]\s+|[，；：、])|(?P<space>\s+)")
+_BOUNDARY = re.compile(
+    r"(?P<paragraph>[^\S\n]*\n[^\S\n]*\n\s*)|(?P<line>[^\S\n]*\n\s*)"
+    r"|(?P<sentence>[.!?…。！？؟।]+[\"'”’»」』)\]]*[^\S\n]+(?=\S)|[。！？]+[”’」』）]*(?!\s))"
+    r"|(?P<clause>[,;:，；：、][^\S\n]+(?=\S)|[，；：、](?!\s))|(?P<space>[^\S\n]+)"
+)
 _RUN = re.compile(r"\S+")
 
 
