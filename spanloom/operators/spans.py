@@ -97,9 +97,13 @@ def suppress_overlaps(spans: DataFrame, record: str = "record_id") -> DataFrame:
     suppress each other. The results of a record are disjoint.
     """
     clean = spans.where(F.col("start").isNotNull() & F.col("end").isNotNull() & F.col(record).isNotNull())
-    clean = clean.select(record, "start", "end", "type", "score", "ord")
-    row = F.struct((-F.coalesce("score", F.lit(float("-inf")))).alias("k1"), (F.col("start") - F.col("end")).alias("k2"), F.col("ord").alias("k3"), "start", "end", "type", "score")
-    grouped = islands(clean, [record]).groupBy(record, "island").agg(F.array_sort(F.collect_list(row)).alias("rows"))
+    # of equal spans only the first can be kept; that much is decided before rows are moved, so a span
+    # that is repeated very often costs nothing and a record has no more rows than distinct spans
+    worst = -F.coalesce(F.col("score"), F.lit(float("-inf")))
+    best = clean.groupBy(record, "start", "end").agg(F.min(F.struct(worst.alias("k1"), F.col("ord").alias("k3"), "type", "score")).alias("b"))
+    best = best.select(record, "start", "end", "b.*")
+    row = F.struct("k1", (F.col("start") - F.col("end")).alias("k2"), "k3", "start", "end", "type", "score")
+    grouped = islands(best, [record]).groupBy(record, "island").agg(F.array_sort(F.collect_list(row)).alias("rows"))
     empty = F.slice(F.col("rows"), F.lit(1), F.lit(0))
     kept = F.aggregate(
         "rows",
