@@ -13,6 +13,7 @@ from spanloom.llm.packing import pack_texts, packing_report
 from spanloom.llm.pii import pii_spans, redacted
 from spanloom.llm.sentences import sentence_units
 from spanloom.llm.splitting import split_oversized
+from spanloom.functions.text import WS
 from spanloom.plans.runtime import read_table
 
 QUERIES: dict = {}
@@ -117,7 +118,11 @@ def p5_pieces(spark: SparkSession, d: str) -> DataFrame:
     return split_oversized(notes, "record_id", "raw_text", limit=2000, overlap=200)
 
 
-@query("p5_found")
+@query(
+    "p5_found",
+    f"select record_id, max((list_max(list_transform(regexp_split_to_array(raw_text, '{WS}+'), lambda x: len(x))) > 2000)::int) as forced "
+    "from input_notes where len(raw_text) > 2000 group by record_id",
+)
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     pieces = split_oversized(read_table(spark, d, "input_notes"), "record_id", "raw_text", limit=2000, overlap=200)
     return pieces.groupBy("record_id").agg((F.max("longest_run") > 2000).cast("int").alias("forced"))
@@ -177,13 +182,22 @@ def p8_leaks(spark: SparkSession, d: str) -> DataFrame:
     return _leaks(spark, d)
 
 
-@query("p8_found")
+_WORDS = "regexp_extract_all(replace(lower(strip_accents(text)), 'đ', 'd'), '[\\p{L}\\p{N}]+')"
+_FOUND = f"""
+with i as (select item_id, {_WORDS} as w from eval_items where text is not null), d as (select doc_id, {_WORDS} as w from documents where text is not null),
+gi as (select item_id, unnest(list_transform(range(1, len(w) - 13), lambda k: array_to_string(w[k : k + 14], ' '))) as g from i where len(w) >= 15),
+gd as (select doc_id, unnest(list_transform(range(1, len(w) - 13), lambda k: array_to_string(w[k : k + 14], ' '))) as g from d where len(w) >= 15),
+f as (select distinct doc_id, item_id from gd join gi using (g))
+"""
+
+
+@query("p8_found", _FOUND + "select doc_id, item_id from f")
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     """Documents that hold 15 successive words of an item, unbroken."""
     return _leaks(spark, d).where("edits = 0 and n_words >= 15").select("doc_id", "item_id").distinct()
 
 
-@query("p8_items")
+@query("p8_items", _FOUND + "select item_id, count(*) as n_docs from f group by item_id")
 def p8_items(spark: SparkSession, d: str) -> DataFrame:
     """The items that leaked, and into how many documents."""
     return p8_found(spark, d).groupBy("item_id").agg(F.count("*").alias("n_docs"))
