@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spanloom.functions.text import WS
+from spanloom.functions.text import WS, bind
 
 ASSERTION_ORDER = ("isNegated", "isFamily", "isHistorical")
 ASSERTABLE = ("TRIỆU_CHỨNG", "CHẨN_ĐOÁN", "THUỐC")
@@ -56,33 +56,32 @@ def align_mentions(mentions: DataFrame, records: DataFrame) -> DataFrame:
     that of the repetitions of one phrase in one record.
     """
     ws = f"{WS}+"
-    m = mentions.join(records.select("record_id", "raw_text"), "record_id", "left")
     words = F.filter(F.split(F.col("text"), ws), lambda w: w != "")
-    loose = F.concat(F.lit("(?iu)"), F.array_join(F.transform(words, quoted), ws))
-    tiers = [quoted(F.col("text")), F.concat(F.lit("(?iu)"), quoted(F.col("text"))), loose]
-    usable = F.col("raw_text").isNotNull() & (F.coalesce(F.regexp_replace("text", ws, ""), F.lit("")) != "")
-    none = F.array().cast("array<struct<start:int,end:int>>")
-    for i, pattern in enumerate(tiers, 1):
-        m = m.withColumn(f"t{i}", F.when(usable, occurrences(F.col("raw_text"), pattern)).otherwise(none))
     # mentions compete only if their loosest forms agree
-    m = m.withColumn("phrase", F.lower(F.array_join(words, " ")))
-    row = F.struct("ord", "text", "assertions", F.coalesce("start_hint", F.lit(0)).alias("hint"), "t1", "t2", "t3")
-    grouped = m.groupBy("record_id", "type", "phrase").agg(F.array_sort(F.collect_list(F.struct(F.col("ord").alias("o"), row.alias("r")))).alias("rows"), F.first("raw_text").alias("raw_text"))
+    m = mentions.withColumn("phrase", F.lower(F.array_join(words, " ")))
+    row = F.struct("ord", "text", "assertions", F.coalesce("start_hint", F.lit(0)).alias("hint"))
+    grouped = m.groupBy("record_id", "type", "phrase").agg(F.array_sort(F.collect_list(F.struct(F.col("ord").alias("o"), row.alias("r")))).alias("rows"))
+    # the texts come to the groups, so they aren't moved once per mention
+    grouped = grouped.join(records.select("record_id", "raw_text"), "record_id", "left")
     empty = F.array().cast("array<struct<ord:long,start:int,end:int,tier:int>>")
-
-    def best(free: Column, hint: Column) -> Column:
-        return F.array_min(F.transform(free, lambda o: F.struct(F.abs(o["start"] - hint).alias("d"), o["start"].alias("start"), o["end"].alias("end"))))
+    nowhere = F.lit(None).cast("struct<start:int,end:int,tier:int>")
+    usable = F.col("raw_text").isNotNull() & (F.coalesce(F.col("phrase"), F.lit("")) != "")
 
     def step(acc: Column, x: Column) -> Column:
         r = x["r"]
-
-        def free(t: Column) -> Column:
-            return F.filter(t, lambda o: ~F.exists(acc, lambda u: (u["start"] == o["start"]) & (u["end"] == o["end"])))
-
-        f1, f2, f3 = free(r["t1"]), free(r["t2"]), free(r["t3"])
-        tier = F.when(F.size(f1) > 0, 1).when(F.size(f2) > 0, 2).when(F.size(f3) > 0, 3)
-        pick = F.when(F.size(f1) > 0, best(f1, r["hint"])).when(F.size(f2) > 0, best(f2, r["hint"])).when(F.size(f3) > 0, best(f3, r["hint"]))
-        return F.array_append(acc, F.struct(r["ord"].cast("long").alias("ord"), pick["start"].alias("start"), pick["end"].alias("end"), tier.alias("tier")))
+        loose = F.array_join(F.transform(F.filter(F.split(r["text"], ws), lambda w: w != ""), quoted), ws)
+        patterns = [quoted(r["text"]), F.concat(F.lit("(?iu)"), quoted(r["text"])), F.concat(F.lit("(?iu)"), loose)]
+
+        def place(tier: int) -> Column:
+            """The nearest free occurrence of this tier, or of the next; later tiers aren't searched in vain."""
+            if tier > len(patterns):
+                return nowhere
+            free = F.filter(occurrences(F.col("raw_text"), patterns[tier - 1]), lambda o: ~F.exists(acc, lambda u: (u["start"] == o["start"]) & (u["end"] == o["end"])))
+            near = F.array_min(F.transform(free, lambda o: F.struct(F.abs(o["start"] - r["hint"]).alias("d"), o["start"].alias("start"), o["end"].alias("end"))))
+            return bind(near, lambda n: F.when(n.isNotNull(), F.struct(n["start"].alias("start"), n["end"].alias("end"), F.lit(tier).alias("tier"))).otherwise(place(tier + 1)))
+
+        found = bind(F.when(usable, place(1)), lambda p: F.struct(r["ord"].cast("long").alias("ord"), p["start"].alias("start"), p["end"].alias("end"), p["tier"].alias("tier")))
+        return F.array_append(acc, found)
 
     placed = grouped.select("record_id", "type", "raw_text", "rows", F.aggregate("rows", empty, step).alias("at"))
     flat = placed.select("record_id", "type", "raw_text", F.explode(F.arrays_zip("rows", "at")).alias("z"))
