@@ -26,12 +26,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="spanloom-checkpoint-"))
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and read it back."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def written(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the checkpoint folder and read that: a cut of the lineage that is
     columnar and survives the loss of executors."""
@@ -60,12 +54,3 @@ def spread(df: DataFrame) -> DataFrame:
     """
     wanted = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= wanted else df.repartition(2 * wanted)
-
-
-def scratch_name(taken: list[str], stem: str) -> str:
-    """A column name that none of ``taken`` clashes with (case-insensitively, as Spark compares)."""
-    low = {t.lower() for t in taken}
-    name = stem
-    while name.lower() in low:
-        name = "_" + name
-    return name
