@@ -136,7 +136,6 @@ def pack_texts(
         f"{id_col} {kind}, piece_no int, token_start int, n_tokens int, tier int, container_id long, slot int, "
         "container_offset int, step_group long"
     )
-    names = [id_col, *schema.replace(", ", ",").split(",")]
     names = [part.split()[0] for part in schema.split(",")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
