@@ -20,6 +20,7 @@ LABEL_TTY = ("IN", "PIN", "BN")
 RRF_COLUMNS = {"code": 0, "source": 11, "tty": 12, "name": 14, "suppress": 16}
 TTY_RANK = ("SBD", "SCD", "GPCK", "BPCK", "IN", "PIN", "MIN")
 TOP_K, LEXICAL_POOL = 20, 160
+BLOCK_ENTRIES = 5_000
 
 
 def names_of(terms: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
@@ -187,6 +188,153 @@ def combine(lexical: Column, cosine: Column) -> Column:
     return F.when(~F.isnan(cosine), 0.52 * lexical + 0.48 * (cosine + 1) / 2)
 
 
+def _block_scorer(rows: list, vectors: dict):  # noqa: ANN202
+    """A function (q, dots, top_k, pool, whole) -> (places, scores, exact, dots, lexical, in_pool) over one block
+    of entries (code, names, words, grams) in the order of their codes.
+
+    If the block is the ``whole`` dictionary, the best ``top_k`` are given; else all of the pool and the
+    ``top_k`` best lexical ones.
+    """
+    from bisect import bisect_right
+
+    import numpy as np
+
+    n = len(rows)
+    exact: dict[str, list[int]] = {}
+    words: dict[str, list[int]] = {}
+    grams: dict[str, list[int]] = {}
+    for i, r in enumerate(rows):
+        for index, terms in ((exact, r["names"]), (words, r["words"]), (grams, r["grams"])):
+            for t in terms:
+                index.setdefault(t, []).append(i)
+    words, grams = ({t: np.array(v) for t, v in x.items()} for x in (words, grams))
+    n_words, n_grams = (np.array([len(r[c]) for r in rows]) for c in ("words", "grams"))
+    has = np.array([r["code"] in vectors for r in rows], dtype=bool)
+    lengths = sorted({len(m) for m in exact})
+    line = "\n".join(exact)
+    ends = np.cumsum([len(m) + 1 for m in exact]).tolist()
+    owners = list(exact.values())
+
+    def share(index, asked, sizes):  # noqa: ANN001, ANN202
+        at = [index[t] for t in asked if t in index]
+        common = np.bincount(np.concatenate(at), minlength=n) if at else np.zeros(n, dtype=np.int64)
+        return common, common / np.maximum(sizes + len(asked) - common, 1)
+
+    def contained(q):  # noqa: ANN001, ANN202
+        part = np.zeros(n)
+        for size in lengths:
+            for i in range(len(q) - size + 1):
+                if (m := q[i : i + size]) in exact:
+                    part[exact[m]] = 1.0
+        i = line.find(q)
+        while i >= 0:
+            k = bisect_right(ends, i)
+            part[owners[k]] = 1.0
+            i = line.find(q, ends[k])
+        return part
+
+    def score(q, dots, top_k, pool, whole):  # noqa: ANN001, ANN202
+        x = q.replace(" ", "_")  # the parts of functions.text: tokens of two signs and more, char_ngrams
+        w, by_word = share(words, {t for t in q.split(" ") if len(t) >= 2}, n_words)
+        g, by_gram = share(grams, {x[i : i + 3] for i in range(max(len(x) - 2, 1))}, n_grams)
+        name = np.zeros(n)
+        name[exact.get(q, [])] = 1.0
+        lexical = (w > 0) | (g > 0) | (name > 0)
+        total = np.where(lexical, np.minimum(1.0, name + 0.18 * contained(q) + 0.55 * by_word + 0.27 * by_gram), 0.0)
+        in_pool = np.zeros(n, dtype=bool)
+        if dots is not None:
+            total = np.where(has, 0.52 * total + 0.48 * (dots + 1) / 2, total)
+            near = np.nonzero(has & np.isfinite(dots))[0]
+            if len(near) > pool:
+                near = near[dots[near] >= np.partition(dots[near], -pool)[-pool]]
+            in_pool[near[np.argsort(-dots[near], kind="stable")[:pool]]] = True
+        at = np.nonzero((lexical | in_pool) & np.isfinite(total))[0]
+        if whole and len(at) > top_k:
+            at = at[total[at] >= np.partition(total[at], -top_k)[-top_k]]
+        at = at[np.lexsort((at, -name[at], -total[at]))]
+        at = at[:top_k] if whole else at[in_pool[at] | (np.cumsum(lexical[at]) <= top_k)]
+        return at, total[at], name[at] > 0, np.full(len(at), np.nan) if dots is None else dots[at], lexical[at], in_pool[at]
+
+    return score
+
+
+def _score_in_workers(queries: DataFrame, rows: list, extra: tuple[str, ...], top_k: int, pool: int = 0, vectors: dict | None = None, width: int = 0, whole: bool = True) -> DataFrame:
+    """``queries`` (q, *extra, _query, ...; with ``embedding`` where ``vectors`` are given) scored against collected
+    entries: (_query, code, score, exact, dot, lexical, in_pool), as ``_block_scorer`` keeps them."""
+    import numpy as np
+    import pandas as pd
+
+    groups: dict[tuple, list] = {}
+    for r in sorted(rows, key=lambda r: r["code"]):
+        groups.setdefault(tuple(r[e] for e in extra), []).append(r.asDict())
+    kind = queries.schema["_query"].dataType.simpleString()
+
+    def run(batches):  # noqa: ANN001, ANN202
+        ready = {}
+        for key, some in groups.items():
+            mine = {c: v for c in (r["code"] for r in some) if len(v := (vectors or {}).get((key, c), ())) == width > 0}
+            matrix = np.array([mine.get(r["code"], np.zeros(width)) for r in some], dtype=np.float64) if mine else None
+            ready[key] = _block_scorer(some, mine), np.array([r["code"] for r in some], dtype=object), matrix
+        for pdf in batches:
+            keys = list(zip(*(pdf[e] for e in extra), strict=True)) if extra else [()] * len(pdf)
+            given = pdf["embedding"].tolist() if vectors is not None else [None] * len(pdf)
+            parts = []
+            for q, query, key, e in zip(pdf["q"].tolist(), pdf["_query"].tolist(), keys, given, strict=True):
+                if key not in ready:
+                    continue
+                score, codes, matrix = ready[key]
+                # rounded, so that equal vectors tie wherever they stand in the matrix
+                dots = np.round(np.einsum("ij,j->i", matrix, np.asarray(e, dtype=np.float64)), 12) if matrix is not None and e is not None and len(e) == matrix.shape[1] else None
+                at, *rest = score(q, dots, top_k, pool, whole)
+                parts.append(([query] * len(at), codes[at], *rest))
+            if parts:
+                names = ("code", "score", "exact", "dot", "lexical", "in_pool")
+                yield pd.DataFrame({"_query": [x for p in parts for x in p[0]]} | {c: np.concatenate([p[i + 1] for p in parts]) for i, c in enumerate(names)})
+
+    need = ["q", *extra, "_query", *(["embedding"] if vectors is not None else [])]
+    return queries.select(*need).mapInPandas(run, f"_query {kind}, code string, score double, exact boolean, dot double, lexical boolean, in_pool boolean")
+
+
+def hybrid_retrieve(queries: DataFrame, terms: DataFrame, vectors: DataFrame, text: str = "text", extra: tuple[str, ...] = (), keys: tuple[str, ...] = (), top_k: int = TOP_K, pool: int = LEXICAL_POOL, block_entries: int = BLOCK_ENTRIES) -> DataFrame:
+    """The ``top_k`` entries of each distinct query by lexical and vector evidence: (query, *keys, *extra, code,
+    score, exact, rank).
+
+    ``queries``: text, ``keys`` (further columns that tell queries apart, such as their context), extra,
+    embedding. ``vectors``: code, extra, embedding, of length 1 and one per code. Members are all entries
+    that share a name, word or 3-gram with the query, and the ``pool`` entries with the greatest dot
+    products (equal ones by code). Every member has both parts, 0.52 and 0.48 of the score; a member that is
+    near only has a lexical part of 0. Ranks are by falling score, exact before other, code. Without a vector
+    of the query or entry, or with one of another length, the lexical score alone counts. Members whose score
+    isn't finite are left out. NULL, empty and blank texts retrieve nothing; of repeated queries one is answered.
+
+    The entries go to the workers in blocks of about ``block_entries``; the bests of the blocks are merged.
+    """
+    import math
+
+    import numpy as np
+
+    names = [text, *keys, *extra]
+    q = queries.select(*names, "embedding").where(F.col(text).isNotNull()).withColumn("q", normalize_term(F.col(text))).where("q != ''")
+    q = q.dropDuplicates(names).select("q", *extra, F.struct(F.col(text).alias("query"), *keys, *extra).alias("s"), "embedding").withColumn("_query", F.to_json("s", {"ignoreNullFields": "false"}))
+    shape = q.schema["s"].dataType
+    e = entries(terms, extra)
+    blocks = max(1, math.ceil(e.count() / block_entries))
+    width = vectors.agg(F.max(F.size("embedding"))).first()[0] or 0
+    out = None
+    for b in range(blocks):
+        mine = F.pmod(F.xxhash64("code"), F.lit(blocks)) == b
+        rows = e.where(mine).collect()
+        near = {(tuple(r[x] for x in extra), r["code"]): np.asarray(r["embedding"], dtype=np.float64) for r in vectors.where(mine & F.col("embedding").isNotNull()).collect()}
+        one = _score_in_workers(q, rows, extra, top_k, pool, near, width, blocks == 1)
+        out = one if out is None else out.unionByName(one)
+    if blocks > 1:  # the pool of the whole list is the best of the blocks' pools
+        by_dot = Window.partitionBy("_query", "in_pool").orderBy(F.col("dot").desc(), "code")
+        out = out.withColumn("in_pool", F.col("in_pool") & (F.row_number().over(by_dot) <= pool)).where("lexical or in_pool")
+    order = Window.partitionBy("_query").orderBy(F.col("score").desc(), F.col("exact").desc(), "code")
+    best = out.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top_k)
+    return best.withColumn("s", F.from_json("_query", shape)).select("s.*", "code", "score", "exact", "rank")
+
+
 def vector_topk(queries: DataFrame, vectors: DataFrame, k: int, block_rows: int = 2_000) -> DataFrame:
     """The ``k`` nearest rows of ``vectors`` (id, embedding) by dot product for each query (qid,
     embedding): (qid, id, dot, rank); equal products are ordered by id.

@@ -7,6 +7,7 @@ rows of ``concepts_a`` are the truth, those of ``concepts_b`` a prediction.
 from __future__ import annotations
 
 from collections.abc import Callable
+from zlib import crc32
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from spanloom.functions import text as X
 from spanloom.operators import alignment, payload, scoring, selection, spans, terminology, validation
 from spanloom.operators.copydiff import diff_copies, diff_values
-from spanloom.plans import pipeline
+from spanloom.plans import adapters, pipeline
 from spanloom.plans.runtime import read_table
 from spanloom.sources import sinks
 from spanloom.streaming import incremental
@@ -586,6 +587,33 @@ def hybrid_score(spark: SparkSession, d: str) -> DataFrame:
     return top.select("qid", "id", F.round(terminology.combine((F.col("qid") == F.col("id")).cast("double"), F.col("dot")), 6).alias("score"))
 
 
+def _hashed_grams(width: int = 64) -> Callable[[list[str]], list[list[float]]]:
+    """Stand-in for a neural encoder: signed counts of hashed 3-grams. Near means written alike here."""
+
+    def encode(texts: list[str]) -> list[list[float]]:
+        out = [[0.0] * width for _ in texts]
+        for v, t in zip(out, texts, strict=True):
+            for i in range(max(len(t) - 2, 1)):
+                h = crc32(t[i : i + 3].encode())
+                v[h % width] += 1.0 if h >> 16 & 1 else -1.0
+        return out
+
+    return encode
+
+
+@query("hybrid_retrieve_topk")
+def hybrid_retrieve_topk(spark: SparkSession, d: str) -> DataFrame:
+    """The five best entries of every distinct diagnosis and drug mention by lexical and vector evidence.
+
+    The vectors come from a stand-in encoder; the context of a mention isn't encoded."""
+    t = read_table(spark, d, "terminology")
+    all_names = F.concat_ws(" ; ", F.array_sort(F.collect_set("name")))
+    passages = terminology.names_of(t, ("system",)).groupBy("code", "system").agg(all_names.alias("text"))
+    coded = lambda df: adapters.embed(df.withColumn("_n", X.normalize_term(F.col("text"))), "_n", _hashed_grams, "hashed-3-grams").drop("_n")
+    out = terminology.hybrid_retrieve(coded(_mentions(spark, d)), t, coded(passages), extra=("system",), top_k=5)
+    return out.withColumn("score", F.round("score", 6))
+
+
 @query(
     "dictionary_export",
     "with f as (select distinct code, system, label from terminology), r as (select *, row_number() over (partition by code order by system, label) as k from f) select code, label from r where k = 1",

@@ -1,6 +1,7 @@
 """Core operators: literal cases, brute force on small inputs, and defined edge cases."""
 
 import json
+import math
 import random
 
 import pytest
@@ -309,6 +310,40 @@ def test_retrieval_against_brute_force(spark, terms):
     assert got == want
 
 
+@pytest.mark.parametrize("block", [5_000, 4])
+def test_hybrid_retrieval_against_brute_force(spark, block):
+    rng = random.Random(7)
+    labels = ["sore throat", "throat pain", "viem hong", "viem phoi", "pain", "sore"]
+    names = [("k", f"C{i:02}", f"{labels[i % 6]} {i // 6}" if i > 5 else labels[i]) for i in range(30)] + [("other", "X1", "dau hong")]
+    vec = {(s, c): [rng.gauss(0, 1) for _ in range(4)] for s, c, _ in names}
+    vec = {k: [x / math.sqrt(sum(y * y for y in v)) for x in v] for k, v in vec.items()}
+    del vec["k", "C05"]
+    vec["k", "C07"] = vec["k", "C13"]
+    asked = [("dau hong", "a", vec["k", "C01"]), ("dau hong", "b", vec["k", "C10"]), ("sore throat", "a", vec["k", "C09"]), ("zzzz", "a", vec["k", "C13"]), ("viem phoi", "a", None), ("zzzz", "b", None), (" ", "a", vec["k", "C01"])]
+    terms = spark.createDataFrame([(s, c, n, []) for s, c, n in names], "system string, code string, label string, aliases array<string>")
+    vectors = spark.createDataFrame([(*k, v) for k, v in vec.items()], "system string, code string, embedding array<double>")
+    queries = spark.createDataFrame([(t, c, "k", e) for t, c, e in asked], "text string, context string, system string, embedding array<double>")
+    grams = lambda x: {x.replace(" ", "_")[i : i + 3] for i in range(len(x) - 2)}
+    jac = lambda a, b: len(a & b) / len(a | b) if a | b else 0.0
+    want = {}
+    for t, c, e in asked:
+        lexical = {}
+        words = {w for w in t.split() if len(w) >= 2}
+        for s, code, n in names:
+            nw = {w for w in n.split() if len(w) >= 2}
+            if s == "k" and t.strip() and (words & nw or grams(t) & grams(n)):
+                lexical[code] = min(1.0, (t == n) + 0.18 * (t in n or n in t) + 0.55 * jac(words, nw) + 0.27 * jac(grams(t), grams(n)))
+        dots = {code: sum(x * y for x, y in zip(v, e)) for (s, code), v in vec.items() if s == "k"} if e and t.strip() else {}
+        near = sorted(dots, key=lambda x: (-round(dots[x], 9), x))[:6]
+        score = {x: lexical.get(x, 0.0) if x not in dots else 0.52 * lexical.get(x, 0.0) + 0.48 * (dots[x] + 1) / 2 for x in {*lexical, *near}}
+        best = sorted(score, key=lambda x: (-round(score[x], 9), ("k", x, t) not in names, x))[:3]
+        want |= {(t, c, i + 1): (x, round(score[x], 6), ("k", x, t) in names) for i, x in enumerate(best)}
+    out = terminology.hybrid_retrieve(queries, terms, vectors, extra=("system",), keys=("context",), top_k=3, pool=6, block_entries=block)
+    got = {(r["query"], r["context"], r["rank"]): (r["code"], round(r["score"], 6), r["exact"]) for r in out.collect()}
+    assert got == want
+    assert got["zzzz", "a", 1][0] == "C07" and ("zzzz", "b", 1) not in got  # found by its vector alone
+
+
 def test_vectors(spark):
     rng = random.Random(5)
     vecs = [(i, [rng.random() for _ in range(8)]) for i in range(60)] + [(60, None), (61, [1.0])]
