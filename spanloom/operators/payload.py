@@ -134,8 +134,8 @@ def apply_mappings(entities: DataFrame, mappings: DataFrame, most: int = 1) -> D
     return entities.join(first, ["record_id", "entity_index"], "left").withColumn("candidates", codes).drop("_wanted")
 
 
-def candidate_payload(retrieved: DataFrame) -> DataFrame:
-    """(query, payload): the retrieved entries of a query as one JSON list in rank order, scores rounded.
+def candidate_payload(retrieved: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+    """(query, *extra, payload): the retrieved entries of a query as one JSON list in rank order, scores rounded.
     A query has as many entries as were retrieved for it, a fixed number."""
     row = F.struct("rank", F.struct("code", F.round("score", 5).alias("score"), "exact").alias("c"))
-    return retrieved.groupBy("query").agg(F.to_json(F.transform(F.array_sort(F.collect_list(row)), lambda x: x["c"])).alias("payload"))
+    return retrieved.groupBy("query", *extra).agg(F.to_json(F.transform(F.array_sort(F.collect_list(row)), lambda x: x["c"])).alias("payload"))

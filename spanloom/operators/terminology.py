@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from spanloom.functions.text import char_ngrams, clean_mention, contains_any, jaccard, normalize_surface, normalize_term, strip_diacritics, tokens
 from spanloom.operators.spans import first_per
-from spanloom.plans.runtime import maybe_broadcast
+from spanloom.plans.runtime import fits_broadcast, maybe_broadcast
 
 # Term types of a drug vocabulary, and the columns of its rows.
 CONCEPT_TTY = ("SCD", "SBD", "BN", "IN", "PIN", "MIN")
@@ -148,15 +148,23 @@ def lexical_score(q: Column, words: Column, grams: Column, names: Column, entry_
     return F.least(F.lit(1.0), exact + 0.18 * part + 0.55 * jaccard(words, entry_words, 0.0) + 0.27 * jaccard(grams, entry_grams, 0.0))
 
 
-def retrieve(queries: DataFrame, terms: DataFrame, text: str = "text", extra: tuple[str, ...] = (), top_k: int = TOP_K, pool: int = LEXICAL_POOL) -> DataFrame:
+def retrieve(queries: DataFrame, terms: DataFrame, text: str = "text", extra: tuple[str, ...] = (), top_k: int = TOP_K, pool: int = LEXICAL_POOL, block_entries: int = BLOCK_ENTRIES) -> DataFrame:
     """The ``top_k`` entries of each distinct query: (query, *extra, code, score, exact, rank).
 
-    Candidates share a name, a word or a 3-gram with the query (an equi-join on the postings); they
-    are ranked by falling score, exact before other, code. ``pool`` is the size of the lexical pool
+    Candidates share a name, a word or a 3-gram with the query; they are ranked by falling score, exact
+    before other, code. Up to ``block_entries`` entries are counted in the workers, so that no candidate but
+    the best moves; the candidates of more come from an equi-join on the postings. ``pool`` is the size of the lexical pool
     that a second stage may re-rank; with this score alone the first ``top_k`` of it are the result.
     NULL, empty and blank queries retrieve nothing.
     """
     q = queries.select(F.col(text).alias("query"), *extra).where("query is not null").distinct().withColumn("q", normalize_term(F.col("query"))).where("q != ''")
+    every = entries(terms, extra)
+    if fits_broadcast(every, block_entries):
+        key = F.to_json(F.struct("q", *extra))
+        asked = q.select("q", *extra).distinct().withColumn("_query", key)
+        best = _score_in_workers(asked, every.collect(), extra, min(top_k, pool)).groupBy("_query").agg(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), (~F.col("exact")).alias("e"), "code"))).alias("best"))
+        hits = q.withColumn("_query", key).join(best, "_query").select("query", *extra, F.posexplode("best").alias("rank", "b"))
+        return hits.select("query", *extra, "b.code", (-F.col("b.s")).alias("score"), (~F.col("b.e")).alias("exact"), (F.col("rank") + 1).alias("rank"))
     q = q.withColumns({"words": F.filter(tokens(F.col("q")), lambda w: F.length(w) >= 2), "grams": char_ngrams(F.col("q"))})
     distinct = q.select("q", "words", "grams", *extra).dropDuplicates(["q", *extra])
     parts = F.concat(
@@ -170,7 +178,7 @@ def retrieve(queries: DataFrame, terms: DataFrame, text: str = "text", extra: tu
         F.max((F.col("kind") == "name").cast("int")).alias("is_name"), F.sum((F.col("kind") == "word").cast("int")).alias("w"), F.sum((F.col("kind") == "gram").cast("int")).alias("g")
     )
     sizes = distinct.select("q", *extra, F.size("words").alias("qw"), F.size("grams").alias("qg"))
-    e = entries(terms, extra).select("code", *extra, "names", F.size("words").alias("ew"), F.size("grams").alias("eg"))
+    e = every.select("code", *extra, "names", F.size("words").alias("ew"), F.size("grams").alias("eg"))
     both = common.join(sizes, ["q", *extra]).join(maybe_broadcast(e), ["code", *extra])
     share = lambda n, x, y: F.when(x + y - n > 0, n / (x + y - n)).otherwise(0.0)
     score = F.least(

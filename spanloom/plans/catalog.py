@@ -554,15 +554,14 @@ def postings(spark: SparkSession, d: str) -> DataFrame:
 
 @query("lexical_retrieve_topk")
 def lexical_retrieve_topk(spark: SparkSession, d: str) -> DataFrame:
-    """The five best entries for every name of the dictionary itself."""
+    """The five best entries for every distinct diagnosis and drug mention."""
     t = read_table(spark, d, "terminology")
-    q = t.select(F.col("label").alias("text"), "system").distinct()
-    return terminology.retrieve(q, t, extra=("system",), top_k=5).withColumn("score", F.round("score", 6))
+    return terminology.retrieve(_mentions(spark, d), t, extra=("system",), top_k=5).withColumn("score", F.round("score", 6))
 
 
 @query("candidate_payloads")
 def candidate_payloads(spark: SparkSession, d: str) -> DataFrame:
-    return payload.candidate_payload(lexical_retrieve_topk(spark, d))
+    return payload.candidate_payload(lexical_retrieve_topk(spark, d), ("system",))
 
 
 @query(

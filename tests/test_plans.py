@@ -73,6 +73,16 @@ def test_published_label_sets(spark):
     assert (agree["n_a"], agree["n_b"], agree["core"], round(agree["jaccard"], 6)) == (281, 323, 228, 0.606383)
 
 
+@pytest.mark.skipif(not os.path.isdir(DATA), reason="no test data")
+def test_retrieval_queries_ask_for_mentions(spark):
+    kind = F.when(F.col("type") == "CHẨN_ĐOÁN", "icd10").when(F.col("type") == "THUỐC", "rxnorm")
+    c = spark.read.parquet(DATA + "/concepts_a.parquet").select("text", kind.alias("system")).where("text is not null and system is not null").distinct()
+    names = catalog.QUERIES["lexical_retrieve_topk"](spark, DATA).cache()
+    assert names.select("query", "system").subtract(c).isEmpty() and names.select("query", "system").distinct().count() > 0.9 * c.count()
+    asked = catalog.QUERIES["candidate_payloads"](spark, DATA)
+    assert asked.select("query", "system").subtract(c).isEmpty() and asked.count() == names.select("query", "system").distinct().count()
+
+
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="no test data")
 def test_entry_contract(spark):
     assert entry.entry(spark).count() > 0
