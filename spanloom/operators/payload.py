@@ -109,16 +109,22 @@ def coerce_mappings(answers: DataFrame, col: str = "answer") -> DataFrame:
     return rows.where(index.isNotNull()).select("record_id", "ord", index.alias("entity_index"), codes.alias("candidates"))
 
 
-def restrict_codes(mappings: DataFrame, retrieved: DataFrame, most: int = 1) -> DataFrame:
+def restrict_codes(mappings: DataFrame, retrieved: DataFrame, most: int = 1, entities: DataFrame | None = None) -> DataFrame:
     """(record_id, entity_index, candidates): per retrieved entity the first mapping's codes that were
     retrieved, ``most`` at most; an entity without a mapping takes its first exact hit.
 
-    ``retrieved``: record_id, entity_index, code, exact, rank."""
+    ``retrieved``: record_id, entity_index, code, exact, rank. With ``entities`` (record_id, entity_index and
+    the columns that were retrieved for, such as the text) it has those columns in place of the ids, and
+    every entity has a row: its list is empty where nothing was retrieved."""
+    ids = ["record_id", "entity_index"]
+    keys = ids if entities is None else [c for c in entities.columns if c not in ids] or ids
     w = Window.partitionBy("record_id", "entity_index").orderBy("ord")
     first = mappings.withColumn("_k", F.row_number().over(w)).where("_k = 1").select("record_id", "entity_index", F.col("candidates").alias("wanted"))
-    have = retrieved.groupBy("record_id", "entity_index").agg(
+    have = retrieved.groupBy(*keys).agg(
         F.collect_set("code").alias("codes"), F.min_by("code", F.when(F.col("exact"), F.col("rank"))).alias("exact")
     )
+    if entities is not None:
+        have = entities.join(have, keys, "left").withColumn("codes", F.coalesce("codes", F.array().cast("array<string>")))
     chosen = F.slice(F.array_distinct(F.filter("wanted", lambda c: F.array_contains(F.col("codes"), c))), 1, most)
     fallback = F.array_compact(F.array("exact"))
     return have.join(first, ["record_id", "entity_index"], "left").select("record_id", "entity_index", F.when(F.col("wanted").isNotNull(), chosen).otherwise(fallback).alias("candidates"))

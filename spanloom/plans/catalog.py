@@ -735,10 +735,10 @@ def restrict_codes(spark: SparkSession, d: str) -> DataFrame:
     t = read_table(spark, d, "terminology")
     c = concepts(spark, d, "concepts_a").where("candidates is not null and text is not null")
     c = c.withColumn("system", F.when(F.col("type") == "CHẨN_ĐOÁN", "icd10").otherwise("rxnorm"))
-    linked = terminology.exact_link(c.select("record_id", "id", "text", "system"), t, extra=("system",))
-    hits = linked.select("record_id", F.col("id").alias("entity_index"), F.posexplode("found").alias("rank", "code")).withColumn("exact", F.lit(True))
+    hits = terminology.retrieve(c.select("text", "system"), t, extra=("system",)).withColumnRenamed("query", "text")
+    e = c.select("record_id", F.col("id").alias("entity_index"), "text", "system")
     m = c.select("record_id", F.col("id").alias("entity_index"), F.lit(0).alias("ord"), "candidates")
-    return payload.restrict_codes(m, hits).select("record_id", "entity_index", F.array_join("candidates", "|").alias("codes"))
+    return payload.restrict_codes(m, hits, entities=e).select("record_id", "entity_index", F.array_join("candidates", "|").alias("codes"))
 
 
 @query("concept_files")

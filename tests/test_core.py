@@ -420,6 +420,9 @@ def test_payloads(spark):
     m = spark.createDataFrame([("1", 0, 0, ["Z", "B"]), ("1", 0, 1, ["A"])], "record_id string, entity_index int, ord int, candidates array<string>")
     r = spark.createDataFrame([("1", 0, "A", True, 1), ("1", 0, "B", False, 2), ("1", 1, "C", True, 3), ("1", 1, "D", False, 1)], "record_id string, entity_index int, code string, exact boolean, rank int")
     assert {x["entity_index"]: x["candidates"] for x in payload.restrict_codes(m, r).collect()} == {0: ["B"], 1: ["C"]}
+    e = spark.createDataFrame([("1", 0, "x"), ("1", 1, "x"), ("1", 2, "none")], "record_id string, entity_index int, text string")
+    r = r.where("entity_index = 0").select(F.lit("x").alias("text"), "code", "exact", "rank")
+    assert {x["entity_index"]: x["candidates"] for x in payload.restrict_codes(m.unionAll(m.limit(1).selectExpr("'1'", "2", "0", "array('A')")), r, entities=e).collect()} == {0: ["B"], 1: ["A"], 2: []}
     df = spark.createDataFrame([('{"a":1}',), ("[1",), ("x",), (None,)], "x string")
     assert [x[0] for x in df.select(payload.is_complete_json(F.col("x"))).collect()] == [True, False, False, False]
 

@@ -83,6 +83,16 @@ def test_retrieval_queries_ask_for_mentions(spark):
     assert asked.select("query", "system").subtract(c).isEmpty() and asked.count() == names.select("query", "system").distinct().count()
 
 
+def test_restricted_codes_of_variants(spark, tmp_path):
+    """A mention with an added word keeps its code, one that retrieves nothing an empty list."""
+    terms = [("J18.9", "icd10", "Viêm phổi", []), ("K21.9", "icd10", "Trào ngược dạ dày", [])]
+    spark.createDataFrame(terms, "code string, system string, label string, aliases array<string>").write.parquet(str(tmp_path / "terminology.parquet"))
+    rows = [(i, f"r{i}", t, "CHẨN_ĐOÁN", c, [], [0, 3], "2024-01-01") for i, (t, c) in enumerate([("viêm phổi nặng", ["J18.9"]), ("dạ dày trào ngựơc", ["X", "K21.9"]), ("zq", ["J18.9"]), ("viêm phổi", ["J18.9"])])]
+    spark.createDataFrame(rows, "concept_id long, record_id string, text string, type string, candidates array<string>, assertions array<string>, position array<int>, loaded_at string").write.parquet(str(tmp_path / "concepts_a.parquet"))
+    got = {r["entity_index"]: r["codes"] for r in catalog.QUERIES["restrict_codes"](spark, str(tmp_path)).collect()}
+    assert got == {0: "J18.9", 1: "K21.9", 2: "", 3: "J18.9"}
+
+
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="no test data")
 def test_entry_contract(spark):
     assert entry.entry(spark).count() > 0
