@@ -96,11 +96,6 @@ def char_ngrams(c: Column, n: int = 3) -> Column:
     return F.when(F.length(x) == 0, F.array().cast("array<string>")).when(F.length(x) <= n, F.array(x)).otherwise(F.array_distinct(parts))
 
 
-def contains_any(query: Column, names: Column) -> Column:
-    """True if the query is part of a name or a name part of the query."""
-    return F.exists(names, lambda n: n.contains(query) | query.contains(n))
-
-
 def jaccard(a: Column, b: Column, both_empty: float) -> Column:
     """Share of the common elements of two sets; two empty sets give ``both_empty``."""
     union = F.size(F.array_union(a, b))

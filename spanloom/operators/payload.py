@@ -140,8 +140,10 @@ def apply_mappings(entities: DataFrame, mappings: DataFrame, most: int = 1) -> D
     return entities.join(first, ["record_id", "entity_index"], "left").withColumn("candidates", codes).drop("_wanted")
 
 
-def candidate_payload(retrieved: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
-    """(query, *extra, payload): the retrieved entries of a query as one JSON list in rank order, scores rounded.
-    A query has as many entries as were retrieved for it, a fixed number."""
-    row = F.struct("rank", F.struct("code", F.round("score", 5).alias("score"), "exact").alias("c"))
-    return retrieved.groupBy("query", *extra).agg(F.to_json(F.transform(F.array_sort(F.collect_list(row)), lambda x: x["c"])).alias("payload"))
+def candidate_payload(retrieved: DataFrame, labels: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+    """(query, *extra, payload): the retrieved entries of a query as one JSON list of code, label, score and exact in
+    rank order, scores rounded. ``labels``: code, extra, label, one row per code. A query has as many entries as were
+    retrieved for it, a fixed number; an entry without a label has none in the list."""
+    row = F.struct("rank", F.struct("code", "label", F.round("score", 5).alias("score"), "exact").alias("c"))
+    named = retrieved.join(labels.select("code", *extra, "label").dropDuplicates(["code", *extra]), ["code", *extra], "left")
+    return named.groupBy("query", *extra).agg(F.to_json(F.transform(F.array_sort(F.collect_list(row)), lambda x: x["c"])).alias("payload"))

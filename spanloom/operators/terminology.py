@@ -9,9 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spanloom.functions.text import char_ngrams, clean_mention, contains_any, jaccard, normalize_surface, normalize_term, strip_diacritics, tokens
+from spanloom.functions.text import char_ngrams, clean_mention, normalize_surface, normalize_term, strip_diacritics, tokens
 from spanloom.operators.spans import first_per
-from spanloom.plans.runtime import fits_broadcast, maybe_broadcast
 
 # Term types of a drug vocabulary, and the columns of its rows.
 CONCEPT_TTY = ("SCD", "SBD", "BN", "IN", "PIN", "MIN")
@@ -50,9 +49,9 @@ def exact_link(mentions: DataFrame, terms: DataFrame, text: str = "text", drug:
     m = mentions.withColumn("_key", key)
     wanted = m.select("_key", *extra).where("_key is not null and _key != ''").distinct()
     index = alias_index(terms, extra)
-    exact = maybe_broadcast(index.where("kind = 'exact'").select(F.col("key").alias("_key"), *extra, F.col("codes").alias("_exact")))
-    plain = maybe_broadcast(index.where("kind = 'plain'").select(F.col("key").alias("_bare"), *extra, F.col("codes").alias("_plain")))
-    leaf = maybe_broadcast(terms.where(F.col("code").endswith(".9")).select(F.expr("substring(code, 1, length(code) - 2)").alias("_one"), F.col("code").alias("_leaf")).distinct())
+    exact = index.where("kind = 'exact'").select(F.col("key").alias("_key"), *extra, F.col("codes").alias("_exact"))
+    plain = index.where("kind = 'plain'").select(F.col("key").alias("_bare"), *extra, F.col("codes").alias("_plain"))
+    leaf = terms.where(F.col("code").endswith(".9")).select(F.expr("substring(code, 1, length(code) - 2)").alias("_one"), F.col("code").alias("_leaf")).distinct()
     found = wanted.join(exact, ["_key", *extra], "left").withColumn("_bare", strip_diacritics(F.col("_key"))).join(plain, ["_bare", *extra], "left")
     none = F.array().cast("array<string>")
     found = found.withColumn("found", F.coalesce("_exact", "_plain", none)).withColumn("_one", F.when((F.size("found") == 1) & F.get("found", F.lit(0)).rlike(r"^[A-Z]\d\d$"), F.get("found", F.lit(0))))
@@ -141,54 +140,42 @@ def entries(terms: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
     )
 
 
-def lexical_score(q: Column, words: Column, grams: Column, names: Column, entry_words: Column, entry_grams: Column) -> Column:
-    """Weighted evidence of exact name, containment, common words and common 3-grams, 1 at most."""
-    exact = F.array_contains(names, q).cast("double")
-    part = contains_any(q, names).cast("double")
-    return F.least(F.lit(1.0), exact + 0.18 * part + 0.55 * jaccard(words, entry_words, 0.0) + 0.27 * jaccard(grams, entry_grams, 0.0))
-
-
-def retrieve(queries: DataFrame, terms: DataFrame, text: str = "text", extra: tuple[str, ...] = (), top_k: int = TOP_K, pool: int = LEXICAL_POOL, block_entries: int = BLOCK_ENTRIES) -> DataFrame:
+def retrieve(queries: DataFrame, terms: DataFrame, text: str = "text", extra: tuple[str, ...] = (), top_k: int = TOP_K, block_entries: int = BLOCK_ENTRIES) -> DataFrame:
     """The ``top_k`` entries of each distinct query: (query, *extra, code, score, exact, rank).
 
-    Candidates share a name, a word or a 3-gram with the query; they are ranked by falling score, exact
-    before other, code. Up to ``block_entries`` entries are counted in the workers, so that no candidate but
-    the best moves; the candidates of more come from an equi-join on the postings. ``pool`` is the size of the lexical pool
-    that a second stage may re-rank; with this score alone the first ``top_k`` of it are the result.
-    NULL, empty and blank queries retrieve nothing.
+    Candidates share a name, a word or a 3-gram with the query. Their score is 1 for an equal name, 0.18 for
+    a name that contains the query or is part of it, 0.55 times the Jaccard share of words and 0.27 times that
+    of 3-grams, 1 at most; they are ranked by falling score, exact before other, code. The entries go to the
+    workers in blocks of about ``block_entries``; of each block the best are kept, and those are merged, so no
+    candidate but the best moves. NULL, empty and blank queries retrieve nothing.
     """
     q = queries.select(F.col(text).alias("query"), *extra).where("query is not null").distinct().withColumn("q", normalize_term(F.col("query"))).where("q != ''")
-    every = entries(terms, extra)
-    if fits_broadcast(every, block_entries):
-        key = F.to_json(F.struct("q", *extra))
-        asked = q.select("q", *extra).distinct().withColumn("_query", key)
-        best = _score_in_workers(asked, every.collect(), extra, min(top_k, pool)).groupBy("_query").agg(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), (~F.col("exact")).alias("e"), "code"))).alias("best"))
-        hits = q.withColumn("_query", key).join(best, "_query").select("query", *extra, F.posexplode("best").alias("rank", "b"))
-        return hits.select("query", *extra, "b.code", (-F.col("b.s")).alias("score"), (~F.col("b.e")).alias("exact"), (F.col("rank") + 1).alias("rank"))
-    q = q.withColumns({"words": F.filter(tokens(F.col("q")), lambda w: F.length(w) >= 2), "grams": char_ngrams(F.col("q"))})
-    distinct = q.select("q", "words", "grams", *extra).dropDuplicates(["q", *extra])
-    parts = F.concat(
-        F.array(F.struct(F.lit("name").alias("kind"), F.col("q").alias("term"))),
-        F.transform("words", lambda w: F.struct(F.lit("word").alias("kind"), w.alias("term"))),
-        F.transform("grams", lambda g: F.struct(F.lit("gram").alias("kind"), g.alias("term"))),
-    )
-    asked = distinct.select("q", *extra, F.explode(parts).alias("p")).select("q", *extra, "p.kind", "p.term")
-    # the join meets every common word and 3-gram once, so counting them gives the intersections
-    common = asked.join(maybe_broadcast(postings(terms, extra)), ["kind", "term", *extra]).groupBy("q", *extra, "code").agg(
-        F.max((F.col("kind") == "name").cast("int")).alias("is_name"), F.sum((F.col("kind") == "word").cast("int")).alias("w"), F.sum((F.col("kind") == "gram").cast("int")).alias("g")
-    )
-    sizes = distinct.select("q", *extra, F.size("words").alias("qw"), F.size("grams").alias("qg"))
-    e = every.select("code", *extra, "names", F.size("words").alias("ew"), F.size("grams").alias("eg"))
-    both = common.join(sizes, ["q", *extra]).join(maybe_broadcast(e), ["code", *extra])
-    share = lambda n, x, y: F.when(x + y - n > 0, n / (x + y - n)).otherwise(0.0)
-    score = F.least(
-        F.lit(1.0),
-        F.col("is_name") + 0.18 * contains_any(F.col("q"), F.col("names")).cast("double") + 0.55 * share(F.col("w"), F.col("qw"), F.col("ew")) + 0.27 * share(F.col("g"), F.col("qg"), F.col("eg")),
-    )
-    scored = both.select("q", *extra, "code", score.alias("score"), (F.col("is_name") == 1).alias("exact"))
-    order = Window.partitionBy("q", *extra).orderBy(F.col("score").desc(), F.col("exact").desc(), "code")
-    best = scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= min(top_k, pool))
-    return q.select("query", "q", *extra).join(best, ["q", *extra]).select("query", *extra, "code", "score", "exact", "rank")
+    key = F.to_json(F.struct("q", *extra), {"ignoreNullFields": "false"})
+    asked = q.select("q", *extra).distinct().withColumn("_query", key)
+    out = _in_blocks(asked, entries(terms, extra), extra, top_k, 0, block_entries)
+    best = F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), (~F.col("exact")).alias("e"), "code"))), 1, top_k)
+    hits = q.withColumn("_query", key).join(out.groupBy("_query").agg(best.alias("best")), "_query").select("query", *extra, F.posexplode("best").alias("rank", "b"))
+    return hits.select("query", *extra, "b.code", (-F.col("b.s")).alias("score"), (~F.col("b.e")).alias("exact"), (F.col("rank") + 1).alias("rank"))
+
+
+def _in_blocks(queries: DataFrame, every: DataFrame, extra: tuple[str, ...], top_k: int, pool: int, block_entries: int, vectors: DataFrame | None = None) -> DataFrame:
+    """``queries`` scored against each block of the entries ``every``; with ``vectors`` (code, extra, embedding) by both kinds of evidence."""
+    import math
+
+    import numpy as np
+
+    blocks = max(1, math.ceil(every.count() / block_entries))
+    width = (vectors.agg(F.max(F.size("embedding"))).first()[0] or 0) if vectors is not None else 0
+    out = None
+    for b in range(blocks):
+        mine = F.pmod(F.xxhash64("code"), F.lit(blocks)) == b
+        near = None
+        if vectors is not None:
+            near = {(tuple(r[x] for x in extra), r["code"]): np.asarray(r["embedding"], dtype=np.float64) for r in vectors.where(mine & F.col("embedding").isNotNull()).collect()}
+        # without vectors the best of a block are all that can count
+        one = _score_in_workers(queries, every.where(mine).collect(), extra, top_k, pool, near, width, vectors is None or blocks == 1)
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 def combine(lexical: Column, cosine: Column) -> Column:
@@ -317,27 +304,14 @@ def hybrid_retrieve(queries: DataFrame, terms: DataFrame, vectors: DataFrame, te
 
     The entries go to the workers in blocks of about ``block_entries``; the bests of the blocks are merged.
     """
-    import math
-
-    import numpy as np
-
     names = [text, *keys, *extra]
     q = queries.select(*names, "embedding").where(F.col(text).isNotNull()).withColumn("q", normalize_term(F.col(text))).where("q != ''")
     q = q.dropDuplicates(names).select("q", *extra, F.struct(F.col(text).alias("query"), *keys, *extra).alias("s"), "embedding").withColumn("_query", F.to_json("s", {"ignoreNullFields": "false"}))
     shape = q.schema["s"].dataType
-    e = entries(terms, extra)
-    blocks = max(1, math.ceil(e.count() / block_entries))
-    width = vectors.agg(F.max(F.size("embedding"))).first()[0] or 0
-    out = None
-    for b in range(blocks):
-        mine = F.pmod(F.xxhash64("code"), F.lit(blocks)) == b
-        rows = e.where(mine).collect()
-        near = {(tuple(r[x] for x in extra), r["code"]): np.asarray(r["embedding"], dtype=np.float64) for r in vectors.where(mine & F.col("embedding").isNotNull()).collect()}
-        one = _score_in_workers(q, rows, extra, top_k, pool, near, width, blocks == 1)
-        out = one if out is None else out.unionByName(one)
-    if blocks > 1:  # the pool of the whole list is the best of the blocks' pools
-        by_dot = Window.partitionBy("_query", "in_pool").orderBy(F.col("dot").desc(), "code")
-        out = out.withColumn("in_pool", F.col("in_pool") & (F.row_number().over(by_dot) <= pool)).where("lexical or in_pool")
+    out = _in_blocks(q, entries(terms, extra), extra, top_k, pool, block_entries, vectors)
+    # the pool of the whole list is the best of the blocks' pools
+    by_dot = Window.partitionBy("_query", "in_pool").orderBy(F.col("dot").desc(), "code")
+    out = out.withColumn("in_pool", F.col("in_pool") & (F.row_number().over(by_dot) <= pool)).where("lexical or in_pool")
     order = Window.partitionBy("_query").orderBy(F.col("score").desc(), F.col("exact").desc(), "code")
     best = out.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top_k)
     return best.withColumn("s", F.from_json("_query", shape)).select("s.*", "code", "score", "exact", "rank")

@@ -552,16 +552,55 @@ def postings(spark: SparkSession, d: str) -> DataFrame:
     return terminology.postings(read_table(spark, d, "terminology")).groupBy("kind", "term").agg(F.countDistinct("code").alias("n"))
 
 
-@query("lexical_retrieve_topk")
+_ENTRY = (
+    f"{_NAMES}, q as (select distinct code, system, {_TERM.format(c='name')} as q from nn), r as (select * from q where q != ''), "
+    "rw as (select distinct code, system, unnest(list_filter(string_split(q, ' '), lambda w: len(w) >= 2)) as t from r), "
+    "rg as (select distinct code, system, unnest(case when len(q) <= 3 then [replace(q, ' ', '_')] else list_transform(range(1, len(q) - 1), lambda i: replace(q, ' ', '_')[i : i + 2]) end) as t from r), "
+    "nw as (select code, system, count(*) as n from rw group by all), ng as (select code, system, count(*) as n from rg group by all)"
+)
+_ASKED = (
+    f"m as (select distinct text, case type when 'CHẨN_ĐOÁN' then 'icd10' else 'rxnorm' end as system, {_TERM.format(c='text')} as q from concepts_a where type in ('CHẨN_ĐOÁN', 'THUỐC') and text is not null), "
+    "a as (select distinct q, system from m where q != ''), "
+    "aw as (select distinct q, system, unnest(list_filter(string_split(q, ' '), lambda w: len(w) >= 2)) as t from a), "
+    "ag as (select distinct q, system, unnest(case when len(q) <= 3 then [replace(q, ' ', '_')] else list_transform(range(1, len(q) - 1), lambda i: replace(q, ' ', '_')[i : i + 2]) end) as t from a), "
+    "sw as (select q, system, count(*) as n from aw group by all), sg as (select q, system, count(*) as n from ag group by all)"
+)
+#: The best entries of the mentions, by counting common words and 3-grams.
+_RETRIEVED = f"""with {_ENTRY}, {_ASKED},
+cw as (select q, aw.system, code, count(*) as n from aw join rw using (t) where aw.system = rw.system group by all),
+cg as (select q, ag.system, code, count(*) as n from ag join rg using (t) where ag.system = rg.system group by all),
+ce as (select distinct a.q, a.system, r.code from a join r on a.q = r.q and a.system = r.system),
+c as (select q, system, code from cw union select q, system, code from cg union select q, system, code from ce),
+cp as (select distinct c.q, c.system, c.code from c join r on r.code = c.code and r.system = c.system where contains(r.q, c.q) or contains(c.q, r.q)),
+s as (select c.q, c.system, c.code, ce.code is not null as exact, least(1.0, (ce.code is not null)::int + 0.18::double * (cp.code is not null)::int
+  + 0.55::double * coalesce(cw.n::double / (sw.n + nw.n - cw.n), 0) + 0.27::double * coalesce(cg.n::double / (sg.n + ng.n - cg.n), 0)) as score
+  from c left join ce using (q, system, code) left join cp using (q, system, code) left join cw using (q, system, code) left join cg using (q, system, code)
+  left join sw using (q, system) left join sg using (q, system) left join nw using (code, system) left join ng using (code, system)),
+k as (select *, row_number() over (partition by q, system order by score desc, exact desc, code)::int as rank from s),
+hits as (select m.text as query, m.system, k.code, k.score, k.exact, k.rank from m join k on m.q = k.q and m.system = k.system where k.rank <= {{top}})
+"""
+
+
+@query("lexical_retrieve_topk", _RETRIEVED.format(top=5) + "select query, system, code, round(score, 6) as score, exact, rank from hits")
 def lexical_retrieve_topk(spark: SparkSession, d: str) -> DataFrame:
     """The five best entries for every distinct diagnosis and drug mention."""
-    t = read_table(spark, d, "terminology")
-    return terminology.retrieve(_mentions(spark, d), t, extra=("system",), top_k=5).withColumn("score", F.round("score", 6))
+    return _retrieved(spark, d, 5).withColumn("score", F.round("score", 6))
 
 
-@query("candidate_payloads")
+def _retrieved(spark: SparkSession, d: str, top_k: int) -> DataFrame:
+    return terminology.retrieve(_mentions(spark, d), read_table(spark, d, "terminology"), extra=("system",), top_k=top_k)
+
+
+@query(
+    "candidate_payloads",
+    _RETRIEVED.format(top=5) + "select query, system, string_agg(code || ' ' || exact::varchar, '|' order by rank) as entries, count(*) as n from hits group by query, system",
+)
 def candidate_payloads(spark: SparkSession, d: str) -> DataFrame:
-    return payload.candidate_payload(lexical_retrieve_topk(spark, d), ("system",))
+    """The entries of every mention as a model is shown them, read back from the JSON."""
+    shown = payload.candidate_payload(_retrieved(spark, d, 5), read_table(spark, d, "terminology").select("code", "system", "label").distinct(), ("system",))
+    row = F.from_json("payload", "array<struct<code:string,label:string,score:double,exact:boolean>>")
+    parts = F.transform(row, lambda r: F.concat(r["code"], F.lit(" "), r["exact"].cast("string")))
+    return shown.select("query", "system", F.array_join(parts, "|").alias("entries"), F.size(row).cast("long").alias("n"))
 
 
 @query(
@@ -729,7 +768,15 @@ def apply_mappings(spark: SparkSession, d: str) -> DataFrame:
     return payload.apply_mappings(e, m, 1000).select("record_id", F.col("entity_index").alias("id"), F.array_join(F.array_sort("candidates"), "|").alias("codes"))
 
 
-@query("restrict_codes")
+@query(
+    "restrict_codes",
+    _RETRIEVED.format(top=20).rstrip().replace("with n as", _cte("ca").rstrip() + ", n as", 1)
+    + """, h as (select query, system, list(code) as codes, arg_min(code, rank) filter (exact) as exact from hits group by query, system),
+    e as (select record_id, id, candidates, h.codes, h.exact from (select *, case type when 'CHẨN_ĐOÁN' then 'icd10' else 'rxnorm' end as system from ca where text is not null and candidates is not null) x
+      left join h on h.query = x.text and h.system = x.system),
+    f as (select record_id, id, list_filter(candidates, lambda c: list_contains(coalesce(codes, []), c)) as fit from e)
+    select record_id, id as entity_index, coalesce(fit[1], '') as codes from f""",
+)
 def restrict_codes(spark: SparkSession, d: str) -> DataFrame:
     """Codes proposed for drugs and diagnoses, kept only where retrieval finds them too."""
     t = read_table(spark, d, "terminology")

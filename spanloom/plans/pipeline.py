@@ -18,7 +18,6 @@ from spanloom.operators.alignment import ASSERTABLE, align_mentions, occurrences
 from spanloom.operators.selection import select
 from spanloom.operators.spans import extend_medication, gate, is_header, suppress_overlaps, trim_edges, trim_generic_prefix
 from spanloom.operators.terminology import exact_link, names_of
-from spanloom.plans.runtime import maybe_broadcast
 
 SPAN = "record_id string, start int, end int, type string, score double, ord long"
 Proposer = Callable[[DataFrame], DataFrame]
@@ -44,7 +43,7 @@ def by_dictionary(terms: DataFrame, kinds: dict[str, str], score: float = 1.0) -
         names = names_of(terms, ("system",)).select(kind.alias("type"), F.trim("name").alias("name")).where("type is not null").distinct()
         words = lambda c: F.filter(F.split(F.lower(c), r"[^\p{L}\p{M}\p{N}]+"), lambda w: w != "")
         longest = F.element_at(F.array_sort(F.transform(words(F.col("name")), lambda w: F.struct(F.length(w).alias("n"), w.alias("w")))), -1)["w"]
-        keyed = maybe_broadcast(names.withColumn("w", longest).where("w is not null"))
+        keyed = names.withColumn("w", longest).where("w is not null")
         held = records.select("record_id", F.explode(F.array_distinct(words(F.col("raw_text")))).alias("w"))
         low = records.select("record_id", "raw_text", F.lower("raw_text").alias("low"))
         pairs = held.join(keyed, "w").select("record_id", "type", "name").join(low, "record_id").where(F.col("low").contains(F.lower("name")))
