@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import functools
+import re
 import unicodedata
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from spanloom.plans.runtime import spread
 
@@ -16,19 +18,37 @@ from spanloom.plans.runtime import spread
 INVISIBLE = dict.fromkeys([0x00AD, 0x034F, 0x061C, 0x180E, *range(0x200B, 0x2010), *range(0x202A, 0x202F), *range(0x2060, 0x2065), 0xFEFF])
 
 
-def map_rows(df: DataFrame, columns: list[str], schema: str, rows: Callable[..., Iterator[tuple]]) -> DataFrame:
-    """Run ``rows(*values of columns)`` for each row and collect the tuples it yields.
+def char_class(codes: list[int]) -> str:
+    """The inside of a pattern's class for sorted code points."""
+    out: list[list[int]] = []
+    for c in codes:
+        if out and out[-1][1] == c - 1:
+            out[-1][1] = c
+        else:
+            out.append([c, c])
+    return "".join(f"\\U{a:08x}" if a == b else f"\\U{a:08x}-\\U{b:08x}" for a, b in out)
+
+
+_HIDDEN = re.compile(f"[{char_class(sorted(INVISIBLE))}]")
+#: Marks that are written on, or around, another sign.
+_MARKS = re.compile("[" + char_class([c for c in (*range(0x300, 0x20000), *range(0xE0100, 0xE01F0)) if unicodedata.category(chr(c))[0] == "M"]) + "]+")
+
+
+def map_rows(df: DataFrame, columns: list[str], schema: str, rows: Callable[..., Iterator[tuple]] | None = None, setup: Callable[[], Callable[..., Iterator[tuple]]] | None = None) -> DataFrame:
+    """Run ``rows(*values of columns)`` for each row and collect the tuples it yields; ``setup()`` makes
+    that function once per task.
 
     Only the named columns travel to the Python workers, in Arrow batches; the output is built
     batch by batch, so a worker holds one batch however long the partition is.
     """
-    names = [part.split()[0].strip("`") for part in schema.split(",")]
+    names = StructType.fromDDL(schema).names
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        each = setup() if setup else rows
         for pdf in batches:
             out: list[tuple] = []
-            for values in zip(*(pdf[c] for c in pdf.columns), strict=True):
-                out.extend(rows(*values))
+            for values in zip(*(pdf[c].tolist() if pdf[c].dtype == object else pdf[c] for c in pdf.columns), strict=True):
+                out.extend(each(*values))
                 if len(out) >= 20_000:
                     yield pd.DataFrame(out, columns=names)
                     out = []
@@ -41,13 +61,16 @@ def map_rows(df: DataFrame, columns: list[str], schema: str, rows: Callable[...,
 @functools.lru_cache(maxsize=200_000)
 def bare(char: str) -> str:
     """``char`` in lower case without accents; ``đ`` counts as ``d``."""
-    kept = "".join(c for c in unicodedata.normalize("NFKD", char) if not unicodedata.category(c).startswith("M"))
-    return kept.casefold().replace("đ", "d")
+    return bare_text(char)
+
+
+def seen(text: str) -> str:
+    """``text`` without invisible code points."""
+    return _HIDDEN.sub("", text) if not text.isascii() else text
 
 
 def bare_text(text: str) -> str:
-    """``text`` folded like ``bare``, in one pass."""
-    t = unicodedata.normalize("NFKD", text)
-    if not t.isascii():
-        t = "".join([c for c in t if not unicodedata.combining(c) and unicodedata.category(c) not in ("Mn", "Mc", "Me")])
-    return t.casefold().replace("đ", "d")
+    """``text`` in lower case without accents; ``đ`` counts as ``d``."""
+    if text.isascii():
+        return text.lower()
+    return _MARKS.sub("", unicodedata.normalize("NFKD", text)).casefold().replace("đ", "d")
