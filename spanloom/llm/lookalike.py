@@ -11,12 +11,12 @@ from __future__ import annotations
 import functools
 import re
 import unicodedata
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spanloom.llm.common import INVISIBLE, map_rows
+from spanloom.llm.common import INVISIBLE, char_class, map_rows
 
 # Letters of other scripts, or rare Latin letters, and the Latin letter each looks like.
 _LOOKS = {
@@ -27,7 +27,15 @@ _LOOKS = {
     "Х": "X", "І": "I", "Ј": "J", "Ѕ": "S", "Ԁ": "D", "Ԛ": "Q", "Ԝ": "W", "Ӏ": "I", "Ԍ": "G",
     "Α": "A", "Β": "B", "Ε": "E", "Ζ": "Z", "Η": "H", "Ι": "I", "Κ": "K", "Μ": "M", "Ν": "N", "Ο": "O", "Ρ": "P",
     "Τ": "T", "Υ": "Y", "Χ": "X", "Ϲ": "C", "Ϳ": "J", "Ɖ": "Đ", "Ð": "Đ", "‐": "-",
+    "ρ": "p", "ι": "i", "κ": "k", "ɩ": "i", "ҽ": "e", "ꜱ": "s", "ⲟ": "o", "ⲣ": "p", "ᴏ": "o", "ᴄ": "c", "ᴠ": "v", "ᴡ": "w", "ᴢ": "z", "ᴜ": "u",
+    "ʏ": "y", "գ": "q", "ց": "g", "զ": "q", "ռ": "n", "յ": "j", "Տ": "S", "Օ": "O", "Լ": "L", "Ս": "U",
+    "Ꭺ": "A", "Ᏼ": "B", "Ꮯ": "C", "Ꭰ": "D", "Ꭼ": "E", "Ꮐ": "G", "Ꮋ": "H", "Ꭻ": "J", "Ꮶ": "K", "Ꮮ": "L", "Ꮇ": "M", "Ꮲ": "P", "Ꭱ": "R",
+    "Ꮪ": "S", "Ꭲ": "T", "Ꮩ": "V", "Ꮃ": "W", "Ꮓ": "Z",
+    "ꓮ": "A", "ꓐ": "B", "ꓚ": "C", "ꓓ": "D", "ꓰ": "E", "ꓝ": "F", "ꓖ": "G", "ꓧ": "H", "ꓲ": "I", "ꓙ": "J", "ꓗ": "K", "ꓡ": "L", "ꓟ": "M",
+    "ꓠ": "N", "ꓳ": "O", "ꓑ": "P", "ꓣ": "R", "ꓢ": "S", "ꓔ": "T", "ꓴ": "U", "ꓦ": "V", "ꓪ": "W", "ꓫ": "X", "ꓬ": "Y", "ꓜ": "Z",
 }
+# Small Greek letters that are signs where they stand alone.
+_SIGNS = "ρκι"
 #: Kinds of compatibility variants that look like what they stand for; superscripts, circled
 #: signs, fractions and the like look different.
 _SAME_LOOK = ("<wide>", "<narrow>", "<noBreak>", "<font>")
@@ -113,6 +121,12 @@ def _script(c: str) -> str:
         return "cyrillic"
     if 0x530 <= o < 0x590:
         return "armenian"
+    if 0x13A0 <= o < 0x1400:
+        return "cherokee"
+    if 0xA4D0 <= o < 0xA500:
+        return "lisu"
+    if 0x2C80 <= o < 0x2D00:
+        return "coptic"
     return "other" if o > 0x250 and o not in (0x251, 0x261) and not 0x1E00 <= o < 0x1F00 and not 0xFF00 <= o < 0xFFF0 else "latin"
 
 
@@ -145,7 +159,8 @@ class Rewriter:
             # a whole word of look-alikes stands in for a Latin one, unless it is a lone capital
             # sign; a word with a letter of its own is a word of its script
             own = any(c not in self.alike for c in letters)
-            if own or (len(letters) == 1 and letters[0].isupper() and scripts == {"greek"} and not re.search("[̀-ͯ]", word)):
+            sign = len(letters) == 1 and scripts == {"greek"} and (letters[0].isupper() or letters[0] in _SIGNS)
+            if own or (sign and not re.search("[̀-ͯ]", word)):
                 out.update(i for i in range(m.start(), m.end()) if _script(text[i]) in scripts or unicodedata.combining(text[i]))
         return out
 
@@ -166,11 +181,6 @@ class Rewriter:
         return unicodedata.normalize("NFC", "".join([*out, text[at:]]))
 
 
-@functools.lru_cache(maxsize=4)
-def _rewriter(table: tuple) -> Rewriter:
-    return Rewriter(table)
-
-
 def code_point_counts(texts: DataFrame) -> dict[str, int]:
     """Occurrences of each code point over a single string column; at most one row per code point."""
     c = F.col(texts.columns[0])
@@ -183,18 +193,30 @@ def learn(texts: DataFrame) -> tuple[tuple[str, str], ...]:
     return tuple(sorted(rewriting(code_point_counts(texts)).items()))
 
 
+@functools.cache
+def _composing() -> list[int]:
+    """Code points that composition may change: marks, what isn't composed itself, conjoining letters,
+    and composed letters whose base may have a look-alike."""
+    out = []
+    for code in (*range(0x80, 0xD800), *range(0xF900, 0x30000)):
+        c = chr(code)
+        if unicodedata.category(c)[0] == "M" or not unicodedata.is_normalized("NFC", c) or 0x1100 <= code < 0x1200:
+            out.append(code)
+        elif code > 0x250 and not 0x1E00 <= code < 0x1F00 and not 0xAC00 <= code < 0xD7A4 and unicodedata.decomposition(c)[:1] not in ("", "<"):
+            out.append(code)
+    return out
+
+
 def may_differ(text: Column, table: tuple[tuple[str, str], ...]) -> Column:
     """False for texts that are certainly consistent already; evaluated without Python."""
-    singles = sorted(ord(a) for a, _ in table if len(a) == 1)
-    ranges: list[list[int]] = []
-    for c in singles:
-        if ranges and ranges[-1][1] == c - 1:
-            ranges[-1][1] = c
-        else:
-            ranges.append([c, c])
-    cls = "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in ranges)
-    # besides those, only letters that some mark composes with, or that decompose otherwise, can change
-    return text.rlike(f"[{cls}\\p{{M}}\\x{{1f00}}-\\x{{1fff}}\\x{{386}}-\\x{{3ce}}\\x{{400}}-\\x{{52f}}\\x{{212a}}\\x{{212b}}]")
+    changing = {ord(a) for a, _ in table if len(a) == 1} | set(_composing())
+    # most texts consist of plain and accented Latin letters, which few ranges tell
+    plain = [c for c in (*range(1, 0x250), *range(0x1E00, 0x1F00)) if c not in changing]
+
+    def cls(codes: list[int]) -> str:
+        return re.sub(r"\\U([0-9a-f]{8})", r"\\x{\1}", char_class(codes))
+
+    return text.rlike(f"[^{cls(plain)}]") & text.rlike(f"[{cls(sorted(changing))}]")
 
 
 def to_consistent(df: DataFrame, key_col: str, text_col: str, table: tuple[tuple[str, str], ...], changed_only: bool = False) -> DataFrame:
@@ -214,10 +236,15 @@ def to_consistent(df: DataFrame, key_col: str, text_col: str, table: tuple[tuple
     if changed_only:
         df = df.where(may_differ(F.col(f"`{text_col}`"), table))
 
-    def rows(key, text) -> Iterator[tuple]:  # noqa: ANN001
-        new = None if text is None else _rewriter(table).rewrite(text)
-        if not changed_only or new != text:
-            yield key, text, new
+    def setup() -> Callable:
+        rewriter = Rewriter(table)
+
+        def rows(key, text) -> Iterator[tuple]:  # noqa: ANN001
+            new = None if text is None else rewriter.rewrite(text)
+            if not changed_only or new != text:
+                yield key, text, new
+
+        return rows
 
     kind = df.schema[key_col].dataType.simpleString()
-    return map_rows(df, [key_col, text_col], f"{key_col} {kind}, text string, consistent string", rows)
+    return map_rows(df, [key_col, text_col], f"{key_col} {kind}, text string, consistent string", setup=setup)
