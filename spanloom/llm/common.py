@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 import re
 import unicodedata
 from collections.abc import Callable, Iterator
@@ -30,8 +29,26 @@ def char_class(codes: list[int]) -> str:
 
 
 _HIDDEN = re.compile(f"[{char_class(sorted(INVISIBLE))}]")
-#: Marks that are written on, or around, another sign.
-_MARKS = re.compile("[" + char_class([c for c in (*range(0x300, 0x20000), *range(0xE0100, 0xE01F0)) if unicodedata.category(chr(c))[0] == "M"]) + "]+")
+
+
+class _Bare(dict):
+    """Translation table: each sign in lower case without accents, made when it is first met."""
+
+    def __missing__(self, code: int) -> str:
+        kept = "".join(c for c in unicodedata.normalize("NFKD", chr(code)) if unicodedata.category(c)[0] != "M")
+        self[code] = kept.casefold().replace("đ", "d")
+        return self[code]
+
+
+class _Words(_Bare):
+    """The same with a blank for all that is no letter or digit, and nothing for what isn't seen."""
+
+    def __missing__(self, code: int) -> str:
+        self[code] = "" if code in INVISIBLE else "".join(c if c.isalnum() else " " for c in _BARE[code])
+        return self[code]
+
+
+_BARE, _WORDS = _Bare(), _Words()
 
 
 def map_rows(df: DataFrame, columns: list[str], schema: str, rows: Callable[..., Iterator[tuple]] | None = None, setup: Callable[[], Callable[..., Iterator[tuple]]] | None = None) -> DataFrame:
@@ -58,19 +75,16 @@ def map_rows(df: DataFrame, columns: list[str], schema: str, rows: Callable[...,
     return spread(df.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)])).mapInPandas(run, schema)
 
 
-@functools.lru_cache(maxsize=200_000)
-def bare(char: str) -> str:
-    """``char`` in lower case without accents; ``đ`` counts as ``d``."""
-    return bare_text(char)
-
-
 def seen(text: str) -> str:
     """``text`` without invisible code points."""
-    return _HIDDEN.sub("", text) if not text.isascii() else text
+    return text if text.isascii() else _HIDDEN.sub("", text)
 
 
 def bare_text(text: str) -> str:
     """``text`` in lower case without accents; ``đ`` counts as ``d``."""
-    if text.isascii():
-        return text.lower()
-    return _MARKS.sub("", unicodedata.normalize("NFKD", text)).casefold().replace("đ", "d")
+    return text.lower() if text.isascii() else text.translate(_BARE)
+
+
+def words_of(text: str) -> list[str]:
+    """Runs of letters and digits, without case and accents."""
+    return text.translate(_WORDS).split()

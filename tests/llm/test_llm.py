@@ -260,6 +260,27 @@ def test_leaks(spark):
     assert leakage.find_leaks(docs, items.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("budget", [1, 2, 3])
+def test_edited_leaks_against_brute_force(budget):
+    """Passages with planted edits, blanks taken away and put in among them: every one is found."""
+    rng = random.Random(budget)
+    vocabulary = ["".join(rng.choices("abcdefgh", k=rng.randint(1, 7))) for _ in range(60)]
+    item = [rng.choice(vocabulary) for _ in range(70)]
+    matcher = leakage.Matcher([(1, " ".join(item))], 15, budget)
+    for _ in range(400):
+        a = rng.randint(0, len(item) - 15)
+        passage = " ".join(item[a : a + 15])
+        edits = rng.randint(0, budget + 1)
+        for _ in range(edits):
+            i = rng.randint(1, len(passage) - 2)
+            passage = passage[:i] + rng.choice(["", rng.choice("xyz "), passage[i] + rng.choice("xyz ")]) + passage[i + 1 :]
+        text = " ".join(rng.choices(vocabulary, k=8)) + " " + " ".join(passage.split()) + " " + " ".join(rng.choices(vocabulary, k=8))
+        padded = f" {text} "
+        least = min(leakage.myers(f" {' '.join(item[s : s + 15])} ", padded, budget) for s in range(len(item) - 14))
+        got = [e for *_, e in matcher.find(text)]
+        assert got == ([least] if least <= budget else [])
+
+
 # --- 9: sentences ---------------------------------------------------------------------------------
 
 
