@@ -124,7 +124,7 @@ def p5_pieces(spark: SparkSession, d: str) -> DataFrame:
     "from input_notes where len(raw_text) > 2000 group by record_id",
 )
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    pieces = split_oversized(read_table(spark, d, "input_notes"), "record_id", "raw_text", limit=2000, overlap=200)
+    pieces = split_oversized(read_table(spark, d, "input_notes"), "record_id", "raw_text", limit=2000, overlap=200, with_text=False)
     return pieces.groupBy("record_id").agg((F.max("longest_run") > 2000).cast("int").alias("forced"))
 
 

@@ -30,7 +30,6 @@ _BOUNDARY = re.compile(
     r"|(?P<sentence>[.!?…。！？؟।]+[\"'”’»」』)\]]*[^\S\n]+(?=\S)|[。！？]+[”’」』）]*(?!\s))"
     r"|(?P<clause>[,;:，；：、][^\S\n]+(?=\S)|[，；：、](?!\s))|(?P<space>[^\S\n]+)"
 )
-_RUN = re.compile(r"\S+")
 
 
 def _joins(text: str, at: int) -> bool:
@@ -41,20 +40,26 @@ def _joins(text: str, at: int) -> bool:
 
 def boundaries(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Sorted positions at which the text may be cut, and the kind of each as index of PENALTY."""
-    kind: dict[int, int] = {}
-    for m in _BOUNDARY.finditer(text):
-        if 0 < m.end() < len(text):
-            kind[m.end()] = _KINDS.index(m.lastgroup)
-    edges = [0, *sorted(kind), len(text)]
-    forced = _KINDS.index("forced")
-    for a, b in zip(edges, edges[1:], strict=False):
+    n = len(text)
+    found = list(_BOUNDARY.finditer(text))
+    at = np.array([m.end() for m in found], dtype=np.int64)
+    kind = np.array([m.lastindex for m in found], dtype=np.int64) - 1
+    at, kind = at[at < n], kind[at < n]
+    edges = np.concatenate(([0], at, [n]))
+    more = []
+    for i in np.nonzero(np.diff(edges) > FORCED_STRIDE + FORCED_STRIDE // 2)[0].tolist():
+        a, b = int(edges[i]), int(edges[i + 1])
         for p in range(a + FORCED_STRIDE, b - FORCED_STRIDE // 2, FORCED_STRIDE):
             while p < b and _joins(text, p):
                 p += 1
             if p < b:
-                kind[p] = forced
-    at = np.array(sorted(kind), dtype=np.int64)
-    return at, np.array([kind[p] for p in at.tolist()], dtype=np.int64)
+                more.append(p)
+    if more:
+        at = np.concatenate((at, np.unique(more)))
+        kind = np.concatenate((kind, np.full(len(at) - len(kind), len(_KINDS) - 1)))
+        order = np.argsort(at, kind="stable")
+        at, kind = at[order], kind[order]
+    return at, kind
 
 
 def cut(text: str, limit: int, overlap: int) -> list[tuple[int, int, str]]:
@@ -65,33 +70,42 @@ def cut(text: str, limit: int, overlap: int) -> list[tuple[int, int, str]]:
     at, kind = boundaries(text)
     gaps = np.diff(np.concatenate(([0], at, [n])))
     if gaps.max(initial=0) > limit - overlap - 1:  # a run of marks so long that no cut keeps them whole
+        known = dict(zip(at.tolist(), kind.tolist(), strict=True))
         at = np.union1d(at, np.arange(FORCED_STRIDE, n, FORCED_STRIDE))
-        known = dict(zip(*(x.tolist() for x in boundaries(text)), strict=True))
         kind = np.array([known.get(p, len(_KINDS) - 1) for p in at.tolist()])
     at, kind = at[at >= overlap], kind[at >= overlap]
-    cost = np.array([PENALTY[k] for k in _KINDS])[kind]
     pieces = max(2, math.ceil((n - overlap) / (limit - overlap)))
     even = (n + (pieces - 1) * overlap) / pieces
     ends = np.append(at, n)
-    cost = np.append(cost, 0.0)
-    best = np.full(len(ends), np.inf)
-    back = np.full(len(ends), -1, dtype=np.int64)
-    first = ends <= limit
-    best[first] = cost[first] + IMBALANCE * ((ends[first] - even) / limit) ** 2
-    low = np.searchsorted(ends, ends - (limit - overlap), side="left")
-    for i in range(len(ends)):
-        lo = low[i]
-        if lo >= i:
-            continue
-        length = ends[i] - ends[lo:i] + overlap
-        total = best[lo:i] + IMBALANCE * ((length - even) / limit) ** 2
-        j = int(total.argmin())
-        if total[j] + cost[i] < best[i]:
-            best[i], back[i] = total[j] + cost[i], lo + j
+    price = np.append(np.array([PENALTY[k] for k in _KINDS])[kind], 0.0).tolist()
+    # best[i] = price[i] + min over j of best[j] + w (y[i] - x[j])^2, where y[i] - x[j] is the deviation of
+    # the piece between the cuts from the even length; without the square of y[i] each j is a line
+    x = ends / limit
+    y = ((ends + (overlap - even)) / limit).tolist()
+    lines, slopes = np.empty(len(ends)), 2 * IMBALANCE * x
+    squares = (IMBALANCE * x * x).tolist()
+    back = [-1] * len(ends)
+    low = np.searchsorted(ends, ends - (limit - overlap), side="left").tolist()
+    firsts = int(np.searchsorted(ends, limit, side="right"))
+    alone = (IMBALANCE * ((ends[:firsts] - even) / limit) ** 2).tolist()
+    lo, total = 0, 0.0
+    for i, v in enumerate(y):
+        least = alone[i] if i < firsts else math.inf
+        # as the cost of a piece is convex in its length, the best cut before never moves back
+        lo = max(lo, low[i])
+        if lo < i:
+            cost = lines[lo:i] - v * slopes[lo:i]
+            j = lo + int(cost.argmin())
+            through = float(cost[j - lo]) + IMBALANCE * v * v
+            lo = j
+            if through < least:
+                least, back[i] = through, j
+        total = least + price[i]
+        lines[i] = total + squares[i]
     cuts, i = [], len(ends) - 1
     while i >= 0:
         cuts.append(i)
-        i = int(back[i])
+        i = back[i]
     cuts.reverse()
     out, start = [], 0
     for i in cuts:
@@ -103,14 +117,14 @@ def cut(text: str, limit: int, overlap: int) -> list[tuple[int, int, str]]:
 
 def longest_run(text: str) -> int:
     """Length of the longest run of characters without white space."""
-    return max((m.end() - m.start() for m in _RUN.finditer(text)), default=0)
+    return max(map(len, text.split()), default=0)
 
 
-def split_oversized(df: DataFrame, id_col: str, text_col: str, limit: int = 2000, overlap: int = 200) -> DataFrame:
+def split_oversized(df: DataFrame, id_col: str, text_col: str, limit: int = 2000, overlap: int = 200, with_text: bool = True) -> DataFrame:
     """Pieces of every text longer than ``limit`` code points.
 
-    Columns: the id, piece_no (from 0), start_pos, end_pos, cut_kind, piece, longest_run (of the
-    whole text, in characters). Piece ``k + 1`` starts ``overlap`` characters before piece ``k``
+    Columns: the id, piece_no (from 0), start_pos, end_pos, cut_kind, piece (NULL unless
+    ``with_text``), longest_run (of the whole text, in characters). Piece ``k + 1`` starts ``overlap`` characters before piece ``k``
     ends; without those repeats the pieces concatenate to the text.
 
     Defined cases: NULL and empty texts and texts up to ``limit`` yield no row; a NULL id is kept
@@ -126,7 +140,7 @@ def split_oversized(df: DataFrame, id_col: str, text_col: str, limit: int = 2000
             return
         run = longest_run(text)
         for k, (start, end, kind) in enumerate(cut(text, limit, overlap)):
-            yield key, k, start, end, kind, text[start:end], run
+            yield key, k, start, end, kind, text[start:end] if with_text else None, run
 
     kind = df.schema[id_col].dataType.simpleString()
     return map_rows(df, [id_col, text_col], f"{id_col} {kind}, piece_no int, start_pos int, end_pos int, cut_kind string, piece string, longest_run int", rows)

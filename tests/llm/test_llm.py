@@ -137,6 +137,28 @@ def test_splitting_round_trip(seed):
     assert joined == text
 
 
+@pytest.mark.parametrize("seed", range(40))
+def test_splitting_is_optimal(seed):
+    """The cost of the cuts is the least over all sequences of boundaries, by the plain recursion."""
+    rng = random.Random(seed)
+    alphabet = rng.choice([["a", "b", " ", " ", "\n", ". ", ", ", "x" * 9], ["abc", " ", "; ", "\n\n"], ["a" * 20, " ", ". "]])
+    text = "".join(rng.choices(alphabet, k=rng.randint(150, 700)))
+    limit, overlap, n = 300, 40, len(text)
+    if n <= limit:
+        return
+    at, kind = splitting.boundaries(text)
+    even = (lambda k: (n + (k - 1) * overlap) / k)(max(2, -(-(n - overlap) // (limit - overlap))))
+    off = lambda size: splitting.IMBALANCE * ((size - even) / limit) ** 2
+    ends = [(p, splitting.PENALTY[list(splitting.PENALTY)[k]]) for p, k in zip(at.tolist(), kind.tolist(), strict=True) if p >= overlap] + [(n, 0.0)]
+    best = []
+    for i, (e, price) in enumerate(ends):
+        ways = [off(e)] if e <= limit else []
+        ways += [best[j] + off(e - ends[j][0] + overlap) for j in range(i) if e - ends[j][0] + overlap <= limit]
+        best.append(price + min(ways, default=float("inf")))
+    cost = sum(off(b - a) + (0 if k == "end" else splitting.PENALTY[k]) for a, b, k in splitting.cut(text, limit, overlap))
+    assert cost == pytest.approx(best[-1])
+
+
 def test_splitting_prefers_boundaries():
     text = ("x" * 90 + ".\n") * 30
     assert all(kind in ("line", "paragraph", "end") for _, _, kind in splitting.cut(text, 500, 50))
