@@ -9,7 +9,7 @@ from spanloom.llm.consensus import fit_consensus
 from spanloom.llm.leakage import find_leaks
 from spanloom.llm.lookalike import learn, to_consistent
 from spanloom.llm.mapping import map_values
-from spanloom.llm.packing import pack_texts, packing_report
+from spanloom.llm.packing import pack_texts, packing_faults, packing_report
 from spanloom.llm.pii import pii_spans, redacted
 from spanloom.llm.sentences import sentence_units
 from spanloom.llm.splitting import split_oversized
@@ -169,6 +169,13 @@ def p7_report(spark: SparkSession, d: str) -> DataFrame:
     return packing_report(p7_packed(spark, d))
 
 
+@query("p7_rules", "select count(*) as texts, 0 as cut_texts, 0 as torn_texts, 0 as bad_containers, 0 as bad_windows from documents")
+def p7_rules(spark: SparkSession, d: str) -> DataFrame:
+    """How often the packing breaks a rule: never."""
+    faults = packing_faults(p7_packed(spark, d), "doc_id")
+    return faults.select("texts", *[F.col(c).cast("int").alias(c) for c in faults.columns[1:]])
+
+
 # --- problem 8: leaked evaluation items ----------------------------------------------------------
 
 

@@ -211,18 +211,37 @@ def test_consensus_edges(spark):
 # --- 7: packing -----------------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("seed", range(6))
+@pytest.mark.parametrize("seed", range(8))
 def test_packing_places_everything(seed):
     rng = np.random.default_rng(seed)
-    cap = 256
-    sizes = rng.integers(1, cap + 1, rng.integers(1, 3000)) if seed else np.full(500, 100)
-    box, slot, offset = packing.pack_sizes(sizes, cap)
+    contexts = (32, 64, 256) if seed % 2 else (256,)
+    cap = contexts[-1]
+    n = int(rng.integers(1500, 3000))
+    sizes = np.minimum(rng.geometric(1 / 25, n), cap) if seed % 2 else rng.integers(1, cap + 1 if seed < 5 else 40, n) if seed else np.full(500, 100)
+    box, slot, offset, context = packing.pack_sizes(sizes, contexts)
     order = np.lexsort((slot, box))
     for b in np.unique(box):
         inside = order[box[order] == b]
-        assert sizes[inside].sum() <= cap
-        assert list(offset[inside]) == list(np.cumsum(sizes[inside]) - sizes[inside])
+        assert list(slot[inside]) == list(range(len(inside)))
+        ends = offset[inside] + sizes[inside]
+        assert ends.max() <= cap and (ends[:-1] <= offset[inside][1:]).all()  # no overlap
+        assert (ends <= (offset[inside] // context[inside] + 1) * context[inside]).all()  # within its window
     assert len(np.unique(box)) <= np.ceil(sizes.sum() / cap) * 1.2 + 1 or not seed
+    if seed % 2:
+        assert len(np.unique(context)) == 3  # every tier is used
+    if seed > 4:
+        assert sizes.sum() / cap / len(np.unique(box)) > 0.98
+
+
+def test_pairs_that_close_a_gap():
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        sizes, pool = rng.integers(1, 40, rng.integers(0, 8)), packing.Sizes(64)
+        for s in sizes.tolist():
+            pool.add(s)
+        gap = int(rng.integers(1, 64))
+        pairs = [min(a, b) for i, a in enumerate(sizes.tolist()) for b in sizes.tolist()[i + 1 :] if a + b == gap]
+        assert pool.pair(gap) == max(pairs, default=0)
 
 
 def test_step_groups_are_even():
@@ -235,7 +254,7 @@ def test_step_groups_are_even():
 @pytest.mark.skipif(not os.path.exists(packing.TOKENIZER), reason="no tokenizer file")
 def test_packing_operator(spark):
     df = spark.createDataFrame([(1, "word " * 5000, 9), (2, "short", 9), (3, None, 9), (4, "", 9), (None, "x", 9), (2, "short", 9)], "doc_id long, text string, slot int").coalesce(1)
-    out = packing.pack_texts(df, "doc_id", "text", capacity=512).collect()
+    out = packing.pack_texts(df, "doc_id", "text", contexts=(128, 256, 512)).collect()
     assert sum(r["n_tokens"] for r in out if r["doc_id"] == 1) == packing.count_tokens("word " * 5000, packing.TOKENIZER)
     assert {r["doc_id"] for r in out if r["container_id"] is None} == {3, 4} and sum(r["doc_id"] == 2 for r in out) == 2
     full = {}
@@ -243,7 +262,23 @@ def test_packing_operator(spark):
         if r["container_id"] is not None:
             full[r["container_id"]] = full.get(r["container_id"], 0) + r["n_tokens"]
     assert max(full.values()) <= 512
+    faults = packing.packing_faults(packing.pack_texts(df.where("doc_id is not null").dropDuplicates(), "doc_id", "text", contexts=(128, 256, 512)), "doc_id", 512).first()
+    assert faults["texts"] == 4 and sum(faults[c] for c in ("cut_texts", "torn_texts", "bad_containers", "bad_windows")) == 0
     assert packing.pack_texts(df.limit(0), "doc_id", "text").count() == 0
+    with pytest.raises(ValueError):
+        packing.pack_texts(df, "doc_id", "text", contexts=(100, 256))
+
+
+@pytest.mark.skipif(not os.path.exists(packing.TOKENIZER), reason="no tokenizer file")
+def test_fill_does_not_depend_on_partitions(spark):
+    rng = random.Random(1)
+    df = spark.createDataFrame([(i, "word " * min(400, int(rng.expovariate(1 / 70)) + 3)) for i in range(1200)], "doc_id long, text string")
+    for parts in (1, 40):
+        packed = packing.pack_texts(df.repartition(parts), "doc_id", "text", contexts=(64, 128, 512))
+        report = packing.packing_report(packed, 512).first()
+        assert report["fill"] > 0.985 and report["pieces"] == 1200
+        faults = packing.packing_faults(packed, "doc_id", 512).first()
+        assert sum(faults[c] for c in ("cut_texts", "torn_texts", "bad_containers", "bad_windows")) == 0
 
 
 # --- 8: leakage -----------------------------------------------------------------------------------
