@@ -7,10 +7,17 @@ boundary what follows depends on the mark only, within a sentence it depends on
 Both are n-grams that back off from tokens to their shapes. Forward-backward over the events of a
 block gives the posterior of each, and a unit ends where a boundary is likelier than none.
 
-The model is trained without labels on the texts themselves. One pass counts which contexts occur;
-expectation-maximisation then runs on that table, held up by the events that are certain: a mark at
-the end of a line ends a unit, a mark before a comma or within an outer sentence's quotation
-doesn't. In scripts without final marks the candidates are the spaces between their letters.
+Neighbouring events are tied: how much likelier or less likely a boundary is behind another one, by
+the length of what stands between, is a factor of the transition. In long stretches without any
+punctuation every gap between words (between letters, in scripts without spaces) is an event, whose
+odds come from how often a word begins, or ends, units elsewhere.
+
+The model is trained without labels on the texts themselves. One pass reads the texts and writes down
+the events with their contexts; expectation-maximisation then runs on the table of counted contexts,
+held up by the events that are certain: a mark at the end of a line ends a unit, a mark before a
+comma or within an outer sentence's quotation doesn't, nor does a space between Thai letters go on.
+The transition is re-estimated by a forward-backward pass over the written events, and a last pass
+over them gives the units.
 """
 
 from __future__ import annotations
@@ -19,38 +26,68 @@ import math
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field, replace
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanloom.llm.common import map_rows
-from spanloom.plans.runtime import spread
+from spanloom.llm.common import char_class, map_rows
+from spanloom.plans.runtime import discard, written
 
 #: Left tokens rarer than this, or than one in TOKENS of all candidates, are known by their shape
-#: only; so the table has at most TOKENS left tokens, whatever the size of the corpus.
-MIN_COUNT, TOKENS = 5, 20_000
+#: only; so the table has at most TOKENS left tokens, whatever the size of the corpus. The same
+#: bounds hold for the words of the gaps.
+MIN_COUNT, TOKENS = 5, 200_000
 ROUNDS = 12
+#: Scored contexts that a worker keeps at hand.
+KNOWN_CONTEXTS = 500_000
+#: How sure the training begins that a final sign of a script without capitals ends a unit.
+FINAL_SIGN = 0.97
 #: Words of so many letters aren't abbreviated.
 LONG = 8
 #: Small words of so many letters aren't, before a capital.
 WORD = 4
-#: Factor for a unit that consists of one initial or other short token.
-SHORT_UNIT = 0.05
-
-_FINAL = ".!?…。！？؟।॥۔．｡"
-_WIDE = "。！？؟।॥۔．｡"
+#: Factor of a boundary behind a boundary, by what stands between: one initial or other short token, up
+#: to FEW characters, or more. The estimate begins with it and is held to it by so many pairs.
+STEPS, STEP_PAIRS = (0.05, 0.5, 1.0), 200.0
+FEW = 4
+#: Share of a token's marks at the ends of lines from which it counts as one that ends units.
+ENDING = 0.02
+#: Log odds that speak for a boundary at a question or exclamation mark, or a final sign of a script without
+#: capitals, without a quotation's end: what always goes on in the same way would else be taken for one
+#: sentence.
+ASKING = 1.5
+#: Words (letters, in scripts without spaces) of a stretch without punctuation whose gaps are events: in
+#: a text without any final mark, and in others.
+BARE_STRETCH, LONG_STRETCH = 20, 100
+
+_FINAL = ".!?…。！？؟।॥۔．｡။།༎។៕።፧։"
+_WIDE = "。！？؟।॥۔．｡။།༎។៕።፧։"
 _OPEN, _CLOSE = "“«„‹「『《〈", "”»›」』》〉"
 _CLOSERS = _CLOSE + "\"'’)]}）】〕］"
 _MARKS = re.compile(rf"[{re.escape(_FINAL)}]+[ ]?(?=[{re.escape(_CLOSE)}])[{re.escape(_CLOSERS)}]+|[{re.escape(_FINAL)}]+[{re.escape(_CLOSERS)}]*")
 _ITEM = re.compile(r"[^\S\n]*(?:\(?(?:\d{1,3}|[a-zA-Zа-яđ]|[ivxIVX]{1,4})[.)]|[-•*+–—●▪◦‣·○■□])[^\S\n]+")
-_SPACELESS = re.compile(r"(?<=[฀-๿])[^\S\n]+(?=[฀-๿])|(?<=[຀-໿])[^\S\n]+(?=[຀-໿])|(?<=[ក-៿])[^\S\n]+(?=[ក-៿])")
+_SPACELESS = re.compile("(?<=[\u0e00-\u0e7f])[^\\S\n]+(?=[\u0e00-\u0e7f])")
+#: Scripts whose spaces part sentences where they have no final marks.
+_SPARSE = re.compile("(?<=[\u0e80-\u0eff])[^\\S\n]+(?=[\u0e80-\u0eff])|(?<=[\u1780-\u17d3])[^\\S\n]+(?=[\u1780-\u17d3])")
 _LEFT = re.compile(r"[^\s\"“”«»„‹›「」『』《》()（）\[\]{}【】]+$")
 _LINE = re.compile("[^\\n\\r\\u2028\\u2029]*(?:[\\n\\r\\u2028\\u2029]|$)")
+_RUN_ON = re.compile(r"(?<=[^\W\d_]{3})[.!?…]+(?=[^\W\d_])")
+_RATE = re.compile(r"[^\W\d_]+/[^\W\d_]{3,}")
 _KANA = re.compile("[\u3041-\u30fa]")
 _NUMBER = re.compile(r"\d+")
+_DECIMAL = re.compile(r"\d+[.,]\d")
+
+
+_HAN = "\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U00031fff"
+_CASELESS = re.compile(f"[{char_class([c for c in (*range(0x591, 0xD800), *range(0xF900, 0x32000)) if unicodedata.category(chr(c)) == 'Lo'])}]")
+_QUOTED = re.compile(f'["{_OPEN}]')
+_ANY_FINAL = re.compile(f"[{re.escape(_FINAL)}]")
+_PLAIN = re.compile(r"[^\W_]+(?:[\u0300-\u036f\u200d'’-]*[^\W_]+)*")
+_GAP = re.compile(r"[^\S\n]+")
+_UNBROKEN = re.compile(f"[^{re.escape(_FINAL)},;:，、；：\n\u0e00-\u0eff\u1780-\u17ff]+")
+_HAN_RUN = re.compile(f"[{_HAN}]+")
 
 
 def _is_han(c: str) -> bool:
@@ -64,7 +101,11 @@ def _before(text: str, start: int, s: int) -> str:
         return text[s - 1]
     found = _LEFT.search(unicodedata.normalize("NFC", text[max(start, s - 40) : s]))
     # what stands behind a sentence that ends without a space isn't part of its last word
-    return re.split(r"(?<=[^\W\d_]{3})[.!?…]+(?=[^\W\d_])", found.group())[-1] if found else ""
+    if not found:
+        return ""
+    token = _RUN_ON.split(found.group())[-1]
+    # of a rate ("times/minute") the last word counts
+    return token if "/" not in token or not _RATE.fullmatch(token) else token.rpartition("/")[2]
 
 
 def _shape(token: str) -> str:
@@ -128,13 +169,13 @@ def _mark(cluster: str) -> str:
 
 def _script(text: str, start: int, end: int) -> str:
     """``cased``, or the script without capitals that the block has letters of."""
-    for i in range(start, end):
-        o = ord(text[i])
-        if o > 0x590 and unicodedata.category(text[i]) == "Lo":
-            if _is_han(text[i]):
-                return "kana" if _KANA.search(text, start, end) else "han"
-            return str(o >> 7)
-    return "cased"
+    m = _CASELESS.search(text, start, end)
+    if not m:
+        return "cased"
+    c = m.group()
+    if _is_han(c):
+        return "kana" if _KANA.search(text, start, end) else "han"
+    return str(ord(c) >> 7)
 
 
 def _right(text: str, at: int, end: int) -> tuple[str, int]:
@@ -149,7 +190,7 @@ def _right(text: str, at: int, end: int) -> tuple[str, int]:
     if c in _OPEN or c in "\"'‘(（[【":
         return "<open>", gap
     if c.isdigit():
-        return "<num>", gap
+        return "<dec>" if _DECIMAL.match(text, i, end) else "<num>", gap
     if c.isalpha() or unicodedata.category(c)[0] == "M":
         if c.islower():
             return "<low>", gap
@@ -174,6 +215,10 @@ class Candidate:
     fixed: int | None  # a certain event
     begin: int  # where the left token begins
 
+    @property
+    def key(self) -> str:
+        return "\x1f".join((self.left, self.shape, self.mark, self.right, "-1" if self.fixed is None else str(self.fixed)))
+
 
 def is_flat(text: str) -> bool:
     return text.islower()
@@ -219,10 +264,11 @@ def _quotes(text: str, start: int, end: int) -> list[tuple[int, int]]:
     return pairs
 
 
-def candidates(text: str, start: int, end: int, flat: bool = False) -> list[Candidate]:
+def candidates(text: str, start: int, end: int, flat: bool = False, least: int | None = None) -> list[Candidate]:
     """Where a unit of the block may end, in order, the block's own end not included.
 
     ``flat``: the text has small letters only, so that they say nothing about where units begin.
+    ``least``: words of a stretch without punctuation whose gaps are events.
     """
     body_end = start + len(text[start:end].rstrip())
     item = _ITEM.match(text, start)
@@ -251,11 +297,9 @@ def candidates(text: str, start: int, end: int, flat: bool = False) -> list[Cand
             continue
         right, gap = _right(text, at, body_end)
         fixed = 0 if right == "<join>" else None
-        if script != "cased" and kind in ("。", "?", "!") and right not in ("<low>", "<join>"):
-            fixed = 1  # in scripts without capitals a final sign has no other use, but for quotations
         # a mark within a quotation that an outer sentence introduces or continues
         if quotes is None:
-            quotes = _quotes(text, start, end)
+            quotes = _quotes(text, start, end) if _QUOTED.search(text, start, end) else []
         for a, b in quotes:
             if a < s and at <= b:
                 lead = text[first:a].rstrip()
@@ -277,37 +321,97 @@ def candidates(text: str, start: int, end: int, flat: bool = False) -> list[Cand
                 left = "<long>"
         mark = f"{kind}{'' if gap or script in ('han', 'kana') else '_'}|{script}"
         out.append(Candidate(at, left, _shape(token), mark, right, fixed, s - len(token)))
-    for m in _SPACELESS.finditer(text, first, body_end):
-        out.append(Candidate(m.start(), "<none>", "<none>", " ", "<none>", 1, m.start()))
+    if script != "cased":
+        for m in _SPACELESS.finditer(text, first, body_end):
+            out.append(Candidate(m.start(), "<none>", "<none>", " ", "<none>", 1, m.start()))
+        if not out:
+            for m in _SPARSE.finditer(text, first, body_end):
+                out.append(Candidate(m.start(), "<none>", "<none>", " ", "<none>", 1, m.start()))
+    if least is not None and body_end - first > 2 * least:
+        out += _gaps(text, first, body_end, least)
     out.sort(key=lambda c: c.at)
     return out
 
 
-def context_counts(text: str) -> Counter:
-    """Contexts of a text: (left, shape, mark, right, fixed) -> count; ``<end>`` for the ends of lines."""
-    out: Counter = Counter()
+def _gaps(text: str, start: int, end: int, least: int) -> list[Candidate]:
+    """Events between the words of long stretches without punctuation."""
+    out = []
+    for m in _UNBROKEN.finditer(text, start, end):
+        if m.end() - m.start() < 2 * least:
+            continue
+        for run in _HAN_RUN.finditer(text, m.start(), m.end()):
+            a, b = run.span()
+            if b - a >= least:
+                out += [Candidate(i, text[i - 2 : i], "<gap>", "<gap>|han", text[i : i + 2], None, i - 2) for i in range(a + 2, b - 1)]
+        words = [w.span() for w in _PLAIN.finditer(text, m.start(), m.end()) if not _is_han(w.group()[0])]
+        if len(words) >= least:
+            for (a, b), (c, d) in zip(words, words[1:], strict=False):
+                if _GAP.fullmatch(text, b, c):
+                    out.append(Candidate(b, _folded(text[a:b]), "<gap>", "<gap>|words", _folded(text[c:d]), None, a))
+    return out
+
+
+def _folded(word: str) -> str:
+    return unicodedata.normalize("NFC", word).lower()
+
+
+@dataclass
+class Reading:
+    """What is needed of a text: its blocks, their events, and contexts that are counted only."""
+
+    starts: list[int]  # of the blocks, without white space
+    ends: list[int]
+    block: list[int]  # of each event
+    at: list[int]
+    after: list[int]  # where the next unit would begin
+    step: list[int]  # kind of what stands between the event and the one before in the block; -1: none
+    key: list[str]
+    counted: list[str]
+
+
+def read(text: str) -> Reading:
+    """The events of a text in order."""
+    r = Reading([], [], [], [], [], [], [], [])
     flat = is_flat(text)
+    least = LONG_STRETCH if _ANY_FINAL.search(text) else BARE_STRETCH
     for start, end in blocks(text):
-        body_end = start + len(text[start:end].rstrip())
-        for c in candidates(text, start, end, flat):
-            out[c.left, c.shape, c.mark, c.right, -1 if c.fixed is None else c.fixed] += 1
-        if body_end > start:
-            script = _script(text, start, body_end)
-            m = None
-            for m in _MARKS.finditer(text, max(start, body_end - 12), body_end):  # noqa: B007
-                pass
-            if m and m.end() == body_end:
-                s = m.start()
-                token = _before(text, start, s)
-                mark = f"{_mark(m.group())}|{script}"
-                out[_left(token), _shape(token), mark, "<end>", 1] += 1
-                if _is_word(token) and _left(token) != "<long>":
-                    out["<long>", "<long>", mark, "<end>", 1] += 1  # what it is known as before a capital
-            # how lines begin is how units begin
-            right, _ = _right(text, start, body_end)
-            if not _ITEM.match(text, start):
-                out["<none>", "<none>", f"<line>|{script}", right, 1] += 1
-    return out
+        body = text[start:end]
+        begin, body_end = start + len(body) - len(body.lstrip()), start + len(body.rstrip())
+        number = len(r.starts)
+        r.starts.append(begin)
+        r.ends.append(body_end)
+        before = None
+        for c in candidates(text, start, end, flat, least):
+            after = c.at
+            while text[after].isspace():
+                after += 1
+            if before is None:
+                step = -1
+            elif len(c.left) <= 2 and before.at <= c.begin <= before.at + 2 and c.shape in ("<I>", "<i>", "<l>", "<short>"):
+                step = 0
+            else:
+                n = c.at - r.after[-1]
+                step = 1 if n <= FEW else 2
+            r.block.append(number)
+            r.at.append(c.at)
+            r.after.append(after)
+            r.step.append(step)
+            r.key.append(c.key)
+            before = c
+        script = _script(text, start, body_end)
+        m = None
+        for m in _MARKS.finditer(text, max(start, body_end - 12), body_end):  # noqa: B007
+            pass
+        if m and m.end() == body_end:
+            token = _before(text, start, m.start())
+            mark = f"{_mark(m.group())}|{script}"
+            r.counted.append("\x1f".join((_left(token), _shape(token), mark, "<end>", "1")))
+            if _is_word(token) and _left(token) != "<long>":
+                r.counted.append("\x1f".join(("<long>", "<long>", mark, "<end>", "1")))  # what it is known as before a capital
+        # how lines begin is how units begin
+        if not _ITEM.match(text, start):
+            r.counted.append("\x1f".join(("<none>", "<none>", f"<line>|{script}", _right(text, start, body_end)[0], "1")))
+    return r
 
 
 @dataclass(frozen=True)
@@ -316,23 +420,29 @@ class Model:
     behind: dict  # (script, right) -> log probability behind a boundary, which hides what was before
     within: dict  # (left, mark, right), (shape, mark, right), (mark, right) -> log probability without one
     floor: float
-
-    def score(self, c: Candidate) -> tuple[float, float]:
-        """Log weights of no boundary and of a boundary."""
-        if c.fixed is not None:
-            return (0.0, -60.0) if c.fixed == 0 else (-60.0, 0.0)
-        odds = self.event.get((c.left, c.mark))
+    begins: dict = field(default_factory=dict)  # word -> log odds of a boundary before it, beyond those of any word
+    finishes: dict = field(default_factory=dict)  # the same behind it
+    gap: dict = field(default_factory=dict)  # kind of gap -> log odds of a boundary
+    steps: tuple = STEPS
+
+    def score(self, left: str, shape: str, mark: str, right: str, fixed: int) -> tuple[float, float]:
+        """Log weights of no boundary and of a boundary; ``fixed`` is -1 for an event that isn't certain."""
+        if fixed >= 0:
+            return (0.0, -60.0) if fixed == 0 else (-60.0, 0.0)
+        if shape == "<gap>":
+            return 0.0, self.gap.get(mark, -9.0) + self.begins.get(right, 0.0) + self.finishes.get(left, 0.0)
+        odds = self.event.get((left, mark))
         if odds is None:
-            odds = self.event.get((c.shape, c.mark))
+            odds = self.event.get((shape, mark))
         if odds is None:
-            odds = self.event.get((c.mark,), 0.0)
-        b = self.behind.get((c.mark.partition("|")[2], c.right), self.floor)
-        w = self.within.get((c.left, c.mark, c.right))
+            odds = self.event.get((mark,), 0.0)
+        b = self.behind.get((mark.partition("|")[2], right), self.floor)
+        w = self.within.get((left, mark, right))
         if w is None:
-            w = self.within.get((c.shape, c.mark, c.right))
+            w = self.within.get((shape, mark, right))
         if w is None:
-            w = self.within.get((c.mark, c.right), self.floor)
-        return w, odds + b
+            w = self.within.get((mark, right), self.floor)
+        return w, odds + b + (ASKING if mark.partition("|")[0].rstrip("_") in ("?", "!", "。") and right != "<low>" else 0.0)
 
 
 def train(table: list[tuple[str, str, str, str, int, float]], rounds: int = ROUNDS) -> Model:
@@ -363,6 +473,8 @@ def train(table: list[tuple[str, str, str, str, int, float]], rounds: int = ROUN
         sign = sign.rstrip("_")
         if right == "<low>":
             return 0.02 if sign != "。" else 0.5
+        if script != "cased" and sign[0] in "。?!":
+            return FINAL_SIGN
         if sign[0] == "." and right[0] == "<":
             n, e = seen[left, sign + script], ended[left, sign + script]
             if shape in ("<I>", "<i>", "<l>", "<dots>", "<caps>") and not e:
@@ -379,6 +491,8 @@ def train(table: list[tuple[str, str, str, str, int, float]], rounds: int = ROUN
         return 0.95
 
     p = [float(f) if f >= 0 else first(a, s, m, r) for a, s, m, r, f, _ in rows]
+    # what goes on behind a token that is seen to end units is known by its shape, not by the token
+    ends = {key for key, n in seen.items() if ended[key] > ENDING * n}
     rights = {r[3] for r in rows}
     floor = math.log(0.5 / (sum(r[5] for r in rows) + len(rights) + 1))
     model = None
@@ -392,7 +506,9 @@ def train(table: list[tuple[str, str, str, str, int, float]], rounds: int = ROUN
                     e0[key] += n * (1 - q)
             if right != "<end>":
                 b[mark.partition("|")[2], right] += n * q
-                w[left, mark, right] += n * (1 - q)
+                sign, _, script = mark.partition("|")
+                if (left, sign.rstrip("_") + script) not in ends:
+                    w[left, mark, right] += n * (1 - q)
                 w[shape, mark, right] += n * (1 - q)
                 w[mark, right] += n * (1 - q)
         for _, _, mark, right, _, n in table:
@@ -413,7 +529,7 @@ def train(table: list[tuple[str, str, str, str, int, float]], rounds: int = ROUN
             if fixed >= 0:
                 p.append(float(fixed))
                 continue
-            none, some = model.score(Candidate(0, left, shape, mark, right, None, 0))
+            none, some = model.score(left, shape, mark, right, -1)
             top = max(none, some)
             p.append(math.exp(some - top) / (math.exp(some - top) + math.exp(none - top)))
     return model or Model({}, {}, {}, floor)
@@ -437,95 +553,187 @@ def _conditional(counts: Counter, given, floor: float, lower, weight: float) ->
     return out
 
 
-def posteriors(found: list[Candidate], model: Model, start: int) -> list[float]:
-    """Forward-backward posteriors of a boundary at each candidate of a block."""
-    n = len(found)
-    if not n:
-        return []
-    score = [model.score(c) for c in found]
-    short = [bool(i) and len(c.left) <= 2 and c.begin >= found[i - 1].at and c.begin - found[i - 1].at <= 2 and c.shape in ("<I>", "<i>", "<l>", "<short>") for i, c in enumerate(found)]
-    factor = math.log(SHORT_UNIT)
-    forward = []
-    for i in range(n):
-        if not i:
-            forward.append(score[0])
-            continue
+def forward_backward(score: list[tuple[float, float]], step: list[int], steps: tuple) -> tuple[list[float], list[float]]:
+    """Posterior of a boundary at each event of a block, and of a boundary at it and at the one before."""
+    n = len(score)
+    if n == 1 or all(steps[k] == 1.0 for k in step[1:]):
+        alone = [_share(s0, s1) for s0, s1 in score]
+        return alone, [0.0, *[a * b for a, b in zip(alone, alone[1:], strict=False)]]
+    tie = [0.0, *[math.log(steps[k]) for k in step[1:]]]
+    forward = [score[0]]
+    for i in range(1, n):
         f0, f1 = forward[-1]
-        both = f1 + (factor if short[i] else 0.0)
-        forward.append((_add(f0, f1) + score[i][0], _add(f0, both) + score[i][1]))
+        forward.append((_add(f0, f1) + score[i][0], _add(f0, f1 + tie[i]) + score[i][1]))
     backward = [(0.0, 0.0)] * n
     for i in range(n - 2, -1, -1):
-        b0, b1 = backward[i + 1]
-        s0, s1 = score[i + 1]
-        backward[i] = (_add(s0 + b0, s1 + b1), _add(s0 + b0, s1 + b1 + (factor if short[i + 1] else 0.0)))
-    out = []
-    for f, b in zip(forward, backward, strict=True):
-        none, some = f[0] + b[0], f[1] + b[1]
-        top = max(none, some)
-        out.append(math.exp(some - top) / (math.exp(some - top) + math.exp(none - top)))
-    return out
+        none, some = score[i + 1][0] + backward[i + 1][0], score[i + 1][1] + backward[i + 1][1]
+        backward[i] = (_add(none, some), _add(none, some + tie[i + 1]))
+    total = _add(forward[-1][0], forward[-1][1])
+    one = [_share(f[0] + b[0], f[1] + b[1]) for f, b in zip(forward, backward, strict=True)]
+    both = [0.0, *[math.exp(min(0.0, forward[i - 1][1] + tie[i] + score[i][1] + backward[i][1] - total)) for i in range(1, n)]]
+    return one, both
+
+
+def _share(none: float, some: float) -> float:
+    """Probability of the second of two log weights."""
+    return 1 / (1 + math.exp(min(700.0, none - some)))
 
 
 def _add(a: float, b: float) -> float:
-    top = max(a, b)
-    return top + math.log(math.exp(a - top) + math.exp(b - top))
+    if a < b:
+        a, b = b, a
+    return a + math.log1p(math.exp(b - a)) if b - a > -50 else a
+
+
+class Splitter:
+    """Reads off the units of texts; contexts that come again are scored once."""
+
+    def __init__(self, model: Model) -> None:
+        self.model, self.known = model, {}
+
+    def score(self, key: str) -> tuple[float, float]:
+        found = self.known.get(key)
+        if found is None:
+            if len(self.known) >= KNOWN_CONTEXTS:
+                self.known.clear()
+            left, shape, mark, right, fixed = key.split("\x1f")
+            found = self.known[key] = self.model.score(left, shape, mark, right, int(fixed))
+        return found
+
+    def blocks(self, block: list[int], key: list[str], step: list[int]) -> Iterator[tuple[int, int, list[float], list[float]]]:
+        """Per block that has events: its first event and the one behind its last, and their posteriors."""
+        i, n = 0, len(block)
+        while i < n:
+            j = i + 1
+            while j < n and block[j] == block[i]:
+                j += 1
+            yield i, j, *forward_backward([self.score(k) for k in key[i:j]], step[i:j], self.model.steps)
+            i = j
+
+    def units(self, starts: list[int], ends: list[int], block: list[int], at: list[int], after: list[int], step: list[int], key: list[str], threshold: float) -> list[tuple[int, int]]:
+        cuts: dict[int, list[int]] = {}
+        for i, j, one, _ in self.blocks(block, key, step):
+            cuts[block[i]] = [k for k, p in zip(range(i, j), one, strict=True) if p > threshold]
+        out = []
+        for b, (start, end) in enumerate(zip(starts, ends, strict=True)):
+            for k in cuts.get(b, ()):
+                if at[k] > start:
+                    out.append((start, at[k]))
+                    start = after[k]
+            out.append((start, end))
+        return out
 
 
 def split(text: str, model: Model, threshold: float = 0.5) -> list[tuple[int, int]]:
     """Units of a text as spans without white space at their ends."""
-    out = []
-    flat = is_flat(text)
-    for start, end in blocks(text):
-        found = candidates(text, start, end, flat)
-        ends = [c.at for c, p in zip(found, posteriors(found, model, start), strict=True) if p > threshold]
-        at = start
-        for e in [*ends, end]:
-            a, b = at, e
-            while a < b and text[a].isspace():
-                a += 1
-            while b > a and text[b - 1].isspace():
-                b -= 1
-            if b > a:
-                out.append((a, b))
-            at = e
-    return out
+    r = read(text)
+    return Splitter(model).units(r.starts, r.ends, r.block, r.at, r.after, r.step, r.key, threshold)
+
 
+_READ = "starts array<int>, ends array<int>, block array<int>, at array<int>, after array<int>, step array<int>, key array<string>, counted array<string>"
 
-def fit(df: DataFrame, text_col: str, min_count: int = MIN_COUNT, tokens: int = TOKENS) -> Model:
-    """Train the model on all texts of a column."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total: Counter = Counter()
+def readings(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The events of every text that has any letters: the id and the columns of ``Reading``."""
 
-        def out() -> pd.DataFrame:
-            return pd.DataFrame([(*k, float(n)) for k, n in total.items()], columns=["left", "shape", "mark", "right", "fixed", "n"])
+    def rows(key, text) -> Iterator[tuple]:  # noqa: ANN001
+        if text and not text.isspace():
+            r = read(text)
+            yield key, r.starts, r.ends, r.block, r.at, r.after, r.step, r.key, r.counted
+
+    kind = df.schema[id_col].dataType.simpleString()
+    return map_rows(df, [id_col, text_col], f"id {kind}, {_READ}", rows)
 
-        for pdf in batches:
-            for text in pdf["c"]:
-                if text:
-                    total.update(context_counts(text))
-            if len(total) > 200_000:
-                yield out()
-                total.clear()
-        if total:
-            yield out()
 
-    schema = "left string, shape string, mark string, right string, fixed int, n double"
+def fit(df: DataFrame, text_col: str, read_: DataFrame, min_count: int = MIN_COUNT, tokens: int = TOKENS) -> Model:
+    """Train the model on all texts of a column, of which ``read_`` are the readings."""
     keys = ["left", "shape", "mark", "right", "fixed"]
-    counted = spread(df.select(F.col(f"`{text_col}`").alias("c"))).mapInPandas(run, schema).groupBy(*keys).agg(F.sum("n").alias("n"))
+    parts = F.split("k", "\x1f")
+    counted = read_.select(F.explode(F.concat("key", "counted")).alias("k")).groupBy("k").agg(F.count("*").cast("double").alias("n"))
+    counted = counted.select(*[F.get(parts, F.lit(i)).alias(c) for i, c in enumerate(keys)], "n").withColumn("fixed", F.col("fixed").cast("int"))
+    gaps = written(counted)
+    counted = gaps.where("shape != '<gap>'")
     # rare left tokens are pooled under their shape, rare right tokens under one sign; what is rare
     # grows with the corpus, so the pooled table doesn't
-    sums = counted.agg(F.sum("n").alias("all"))
-    rare = F.greatest(F.lit(float(min_count)), F.col("all") / tokens)
-    counted = (
-        counted.crossJoin(F.broadcast(sums))
-        .withColumn("of_left", F.sum("n").over(Window.partitionBy("left")))
-        .withColumn("left", F.when(F.col("of_left") >= rare, F.col("left")).otherwise(F.col("shape")))
-        .withColumn("of_right", F.sum("n").over(Window.partitionBy("right")))
-        .withColumn("right", F.when(F.col("of_right") >= rare, F.col("right")).otherwise(F.lit("<other>")))
+    total = counted.agg(F.coalesce(F.sum("n"), F.lit(0.0))).first()[0]
+    rare = max(float(min_count), total / tokens)
+    often = [F.broadcast(counted.groupBy(c).agg(F.sum("n").alias("of")).where(F.col("of") >= rare).select(c, F.lit(True).alias(f"known_{c}"))) for c in ("left", "right")]
+    pooled = (
+        counted.join(often[0], "left", "left")
+        .join(often[1], "right", "left")
+        .withColumn("left", F.when(F.col("known_left"), F.col("left")).otherwise(F.col("shape")))
+        .withColumn("right", F.when(F.col("known_right"), F.col("right")).otherwise(F.lit("<other>")))
     )
-    rows = counted.groupBy(*keys).agg(F.sum("n").alias("n")).orderBy(*keys).collect()
-    return train([tuple(r) for r in rows])
+    rows = pooled.groupBy(*keys).agg(F.sum("n").alias("n")).orderBy(*keys).collect()
+    model = train([tuple(r) for r in rows])
+    kinds = {r[0] for r in gaps.where("shape = '<gap>'").select("mark").distinct().collect()}
+    discard(gaps)
+    if kinds:
+        model = replace(model, **_gap_odds(df, text_col, kinds, min_count, tokens))
+    return replace(model, steps=_steps(read_, model))
+
+
+def _gap_odds(df: DataFrame, text_col: str, kinds: set[str], min_count: int, tokens: int) -> dict:
+    """How often words, and pairs of letters of scripts without spaces, begin and end units."""
+    text = F.lower(F.col(f"`{text_col}`"))
+    finals, closers = re.escape(_FINAL), r"[\"\u201d\u2019»)\]」』]*"
+    word, pair = r"[\p{L}\p{M}\p{N}]+", f"[{_HAN}]{{2}}"
+    out: dict[str, dict] = {"begins": {}, "finishes": {}, "gap": {}}
+    for mark, all_, begins, finishes in (
+        ("<gap>|words", rf"({word})", rf"(?m)(?:^|[{finals}]{closers}\s+)[^\p{{L}}\p{{N}}\n]*({word})", rf"({word}){closers}[{finals}]"),
+        ("<gap>|han", rf"(?=({pair}))", rf"(?m)(?:^|[{finals}]{closers})({pair})", rf"({pair}){closers}[{finals}]"),
+    ):
+        if mark not in kinds:
+            continue
+        terms = None
+        for kind, pattern in (("n", all_), ("b", begins), ("e", finishes)):
+            one = df.select(F.explode(F.regexp_extract_all(text, F.lit(pattern), F.lit(1))).alias("t"), F.lit(kind).alias("k"))
+            terms = one if terms is None else terms.unionByName(one)
+        counts = terms.groupBy("t").agg(*[F.sum((F.col("k") == k).cast("double")).alias(k) for k in "nbe"])
+        counts = written(counts.where((F.col("n") > 0) & (F.col("t") != "")))
+        n, b, e = counts.agg(*[F.coalesce(F.sum(c), F.lit(0.0)) for c in "nbe"]).first()
+        for side, total in (("b", b), ("e", e)):
+            share = min(0.5, max(total, 0.5) / max(n, 1.0))
+            base = math.log(share / (1 - share))
+            into = out["begins" if side == "b" else "finishes"]
+            for r in counts.where(F.col("n") >= max(float(min_count), n / tokens)).select("t", "n", F.least(side, "n").alias("x")).collect():
+                p = (r.x + 5 * share) / (r.n + 5 + 1e-9)
+                into[r.t] = math.log(p / (1 - p)) - base
+            if side == "b":
+                out["gap"][mark] = base
+        discard(counts)
+    return out
+
+
+def _steps(read_: DataFrame, model: Model) -> tuple:
+    """The transition's factors, re-estimated from the posteriors of all neighbouring events."""
+
+    def setup() -> Callable:
+        splitter = Splitter(model)
+
+        def rows(block, key, step) -> Iterator[tuple]:  # noqa: ANN001
+            sums = [[0.0, 0.0, 0.0, 0.0] for _ in STEPS]  # pairs, boundary at the first, at the second, at both
+            step = list(step)
+            for i, j, one, both in splitter.blocks(list(block), list(key), step):
+                for k in range(i + 1, j):
+                    s = sums[step[k]]
+                    s[0] += 1
+                    s[1] += one[k - i - 1]
+                    s[2] += one[k - i]
+                    s[3] += both[k - i]
+            yield from ((k, *s) for k, s in enumerate(sums) if s[0])
+
+        return rows
+
+    found = map_rows(read_.where("size(block) > 1"), ["block", "key", "step"], "k int, n double, a double, b double, ab double", setup=setup)
+    sums = {r.k: r for r in found.groupBy("k").agg(*[F.sum(c).alias(c) for c in ("n", "a", "b", "ab")]).collect()}
+    lift = {k: r.ab * r.n / max(r.a * r.b, 1e-9) for k, r in sums.items()}
+    out = list(STEPS)
+    for k in lift:
+        if k < len(STEPS) - 1:  # long units are the measure
+            ratio = lift[k] / max(lift.get(len(STEPS) - 1, 1.0), 1e-9)
+            out[k] = min(1.0, max(0.02, (ratio * sums[k].n + STEP_PAIRS * STEPS[k]) / (sums[k].n + STEP_PAIRS)))
+    return tuple(out)
 
 
 def sentence_units(df: DataFrame, id_col: str, text_col: str, model: Model | None = None, threshold: float = 0.5) -> DataFrame:
@@ -538,12 +746,20 @@ def sentence_units(df: DataFrame, id_col: str, text_col: str, model: Model | Non
     split each; other columns are not carried, so their names can't clash; an empty table trains an
     empty model, which ends units at line ends only where nothing else is known.
     """
-    model = model or fit(df, text_col)
+    if model is None:
+        read_ = written(readings(df, id_col, text_col))
+        model = fit(df, text_col, read_)
+    else:
+        read_ = readings(df, id_col, text_col)
 
-    def rows(key, text) -> Iterator[tuple]:  # noqa: ANN001
-        if text:
-            for k, (a, b) in enumerate(split(text, model, threshold)):
+    def setup() -> Callable:
+        splitter = Splitter(model)
+
+        def rows(key, *columns) -> Iterator[tuple]:  # noqa: ANN001
+            for k, (a, b) in enumerate(splitter.units(*(list(c) for c in columns), threshold)):
                 yield key, k, a, b
 
+        return rows
+
     kind = df.schema[id_col].dataType.simpleString()
-    return map_rows(df, [id_col, text_col], f"{id_col} {kind}, unit_no int, start_pos int, end_pos int", rows)
+    return map_rows(read_, ["id", "starts", "ends", "block", "at", "after", "step", "key"], f"{id_col} {kind}, unit_no int, start_pos int, end_pos int", setup=setup)

@@ -387,3 +387,48 @@ def test_sentence_operator_edges(spark):
     df = spark.createDataFrame([(1, None, 0), (2, "", 0), (None, "Một. Hai.", 0), (3, "x" * 200_000, 0)], "doc_id long, text string, unit_no int")
     assert {r["doc_id"] for r in sentences.sentence_units(df, "doc_id", "text").collect()} == {None, 3}
     assert sentences.sentence_units(df.limit(0), "doc_id", "text").count() == 0
+
+
+def test_sentences_without_marks(spark):
+    """Texts without a single mark are cut where the words of the corpus begin and end sentences."""
+    rng = random.Random(8)
+    en = ["the doctor saw a patient with fever today", "please drink enough warm water every morning", "our ward was closed after the long storm", "every nurse should wash both hands first", "it hurts badly when my knee is bent", "we waited outside until nine in the evening"]
+    zh = ["请尽快复查肝功能", "家属因头痛来诊", "护士每天测量体温", "医生建议先休息两周", "孩子昨天夜里咳嗽"]
+    rows, truth = [], {}
+    for i in range(300):
+        rows.append((i, " ".join(u.capitalize() + "." for u in rng.choices(en, k=8))))
+        rows.append((1000 + i, "".join(u + "。" for u in rng.choices(zh, k=8))))
+    for i in range(60):
+        for k, pool, gap in ((5000, en, " "), (6000, zh, "")):
+            units = rng.choices(pool, k=8)
+            at, spans = 0, set()
+            for u in units:
+                spans.add((at, at + len(u)))
+                at += len(u) + len(gap)
+            rows.append((k + i, gap.join(units)))
+            truth[k + i] = spans
+    got = {}
+    for r in sentences.sentence_units(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text").where("doc_id >= 5000").collect():
+        got.setdefault(r["doc_id"], set()).add((r["start_pos"], r["end_pos"]))
+    for k in (5000, 6000):
+        mine = [i for i in truth if k <= i < k + 1000]
+        hit, found, want = (sum(n) for n in zip(*((len(got[i] & truth[i]), len(got[i]), len(truth[i])) for i in mine), strict=True))
+        assert hit / want > 0.9 and hit / found > 0.9, (k, hit, found, want)
+
+
+def test_marks_of_further_scripts(spark):
+    rng = random.Random(9)
+    pools = [["ངས་ཟ།", "ཁོས་འགྲོ།", "མོ་ཉལ།"], ["နေကောင်းလား။", "ကောင်းပါတယ်။", "သွားမယ်။"], ["ក ខ។", "គ ឃ។", "ង ច។"], ["ሰላም ነው።", "ደህና።", "ና።"]]
+    rows, truth = [], {}
+    for i in range(80):
+        units = rng.choices(pools[i % 4], k=5)
+        text, spans = "", set()
+        for u in units:
+            spans.add((len(text), len(text) + len(u)))
+            text += u + " "
+        rows.append((i, text))
+        truth[i] = spans
+    got = {}
+    for r in sentences.sentence_units(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text").collect():
+        got.setdefault(r["doc_id"], set()).add((r["start_pos"], r["end_pos"]))
+    assert got == truth
