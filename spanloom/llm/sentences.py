@@ -22,6 +22,7 @@ over them gives the units.
 
 from __future__ import annotations
 
+import functools
 import math
 import re
 import unicodedata
@@ -29,17 +30,20 @@ from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field, replace
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanloom.llm.common import char_class, map_rows
-from spanloom.plans.runtime import discard, written
+from spanloom.plans.runtime import discard, spread, written
 
 #: Left tokens rarer than this, or than one in TOKENS of all candidates, are known by their shape
 #: only; so the table has at most TOKENS left tokens, whatever the size of the corpus. The same
 #: bounds hold for the words of the gaps.
 MIN_COUNT, TOKENS = 5, 200_000
 ROUNDS = 12
+#: Characters before a mark in which its token is looked for; a longer one is known by its end.
+TOKEN_CHARS = 40
 #: Scored contexts that a worker keeps at hand.
 KNOWN_CONTEXTS = 500_000
 #: How sure the training begins that a final sign of a script without capitals ends a unit.
@@ -60,7 +64,7 @@ ENDING = 0.02
 ASKING = 1.5
 #: Words (letters, in scripts without spaces) of a stretch without punctuation whose gaps are events: in
 #: a text without any final mark, and in others.
-BARE_STRETCH, LONG_STRETCH = 20, 100
+BARE_STRETCH, LONG_STRETCH = 30, 100
 
 _FINAL = ".!?…。！？؟।॥۔．｡။།༎។៕።፧։"
 _WIDE = "。！？؟।॥۔．｡။།༎។៕።፧։"
@@ -81,11 +85,12 @@ _DECIMAL = re.compile(r"\d+[.,]\d")
 
 
 _HAN = "\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U00031fff"
-_CASELESS = re.compile(f"[{char_class([c for c in (*range(0x591, 0xD800), *range(0xF900, 0x32000)) if unicodedata.category(chr(c)) == 'Lo'])}]")
+_CASELESS = re.compile(f"[{char_class([c for c in (*range(0x591, 0xD800), *range(0xF900, 0x10000)) if unicodedata.category(chr(c)) == 'Lo'])}]")
 _QUOTED = re.compile(f'["{_OPEN}]')
 _ANY_FINAL = re.compile(f"[{re.escape(_FINAL)}]")
 _PLAIN = re.compile(r"[^\W_]+(?:[\u0300-\u036f\u200d'’-]*[^\W_]+)*")
 _GAP = re.compile(r"[^\S\n]+")
+_ENDS = re.compile(rf"\n+|[{re.escape(_FINAL)}]+[{re.escape(_CLOSERS)}]*(?:\s+|(?<=[{_WIDE}]))")
 _UNBROKEN = re.compile(f"[^{re.escape(_FINAL)},;:，、；：\n\u0e00-\u0eff\u1780-\u17ff]+")
 _HAN_RUN = re.compile(f"[{_HAN}]+")
 
@@ -99,15 +104,19 @@ def _before(text: str, start: int, s: int) -> str:
     """The token before a mark at ``s``."""
     if s > start and _is_han(text[s - 1]):
         return text[s - 1]
-    found = _LEFT.search(unicodedata.normalize("NFC", text[max(start, s - 40) : s]))
+    found = _LEFT.search(unicodedata.normalize("NFC", text[max(start, s - TOKEN_CHARS) : s]))
     # what stands behind a sentence that ends without a space isn't part of its last word
     if not found:
         return ""
-    token = _RUN_ON.split(found.group())[-1]
+    token = found.group()
+    if token.isalnum():
+        return token
+    token = _RUN_ON.split(token)[-1]
     # of a rate ("times/minute") the last word counts
     return token if "/" not in token or not _RATE.fullmatch(token) else token.rpartition("/")[2]
 
 
+@functools.lru_cache(maxsize=100_000)
 def _shape(token: str) -> str:
     if not token:
         return "<none>"
@@ -130,6 +139,7 @@ def _shape(token: str) -> str:
     return "<caps>" if token.isupper() else "<word>"
 
 
+@functools.lru_cache(maxsize=100_000)
 def _left(token: str) -> str:
     """A left token as the model knows it."""
     if not token:
@@ -146,11 +156,13 @@ def _left(token: str) -> str:
     return _NUMBER.sub("0", token)[-24:]
 
 
+@functools.lru_cache(maxsize=100_000)
 def _is_word(token: str) -> bool:
     """True for a word in small letters that is too long, or too accented, for an abbreviation."""
     return token.isalpha() and token.islower() and (len(token) >= WORD or not unicodedata.is_normalized("NFD", token))
 
 
+@functools.lru_cache(maxsize=100_000)
 def _mark(cluster: str) -> str:
     """Kind of a mark cluster: the last final sign, and what closes behind it."""
     signs = [c for c in cluster if c in _FINAL]
@@ -205,7 +217,7 @@ def _right(text: str, at: int, end: int) -> tuple[str, int]:
     return "<join>" if c in ",;:、，；：—–-/％%+=" or c in _CLOSERS or c in _FINAL else "<sign>", gap
 
 
-@dataclass
+@dataclass(slots=True)
 class Candidate:
     at: int  # the unit would end here
     left: str
@@ -242,7 +254,7 @@ def blocks(text: str) -> list[tuple[int, int]]:
         else:
             out.append((start, m.end()))
         stripped = body.rstrip(_CLOSERS)
-        previous_open = not stripped.endswith(tuple(_FINAL)) if stripped else True
+        previous_open = not stripped or stripped[-1] not in _FINAL
     return out
 
 
@@ -264,7 +276,7 @@ def _quotes(text: str, start: int, end: int) -> list[tuple[int, int]]:
     return pairs
 
 
-def candidates(text: str, start: int, end: int, flat: bool = False, least: int | None = None) -> list[Candidate]:
+def candidates(text: str, start: int, end: int, flat: bool = False, least: int | None = None, script: str | None = None) -> list[Candidate]:
     """Where a unit of the block may end, in order, the block's own end not included.
 
     ``flat``: the text has small letters only, so that they say nothing about where units begin.
@@ -274,7 +286,7 @@ def candidates(text: str, start: int, end: int, flat: bool = False, least: int |
     item = _ITEM.match(text, start)
     first = item.end() if item and item.end() <= body_end else start
     quotes = None
-    script = _script(text, start, body_end)
+    script = script or _script(text, start, body_end)
     out = []
     for m in _MARKS.finditer(text, first, body_end):
         at = m.end()
@@ -327,7 +339,7 @@ def candidates(text: str, start: int, end: int, flat: bool = False, least: int |
         if not out:
             for m in _SPARSE.finditer(text, first, body_end):
                 out.append(Candidate(m.start(), "<none>", "<none>", " ", "<none>", 1, m.start()))
-    if least is not None and body_end - first > 2 * least:
+    if least is not None and body_end - first >= (least if script in ("han", "kana") else 2 * least - 1):
         out += _gaps(text, first, body_end, least)
     out.sort(key=lambda c: c.at)
     return out
@@ -337,7 +349,7 @@ def _gaps(text: str, start: int, end: int, least: int) -> list[Candidate]:
     """Events between the words of long stretches without punctuation."""
     out = []
     for m in _UNBROKEN.finditer(text, start, end):
-        if m.end() - m.start() < 2 * least:
+        if m.end() - m.start() < least:
             continue
         for run in _HAN_RUN.finditer(text, m.start(), m.end()):
             a, b = run.span()
@@ -377,11 +389,11 @@ def read(text: str) -> Reading:
     for start, end in blocks(text):
         body = text[start:end]
         begin, body_end = start + len(body) - len(body.lstrip()), start + len(body.rstrip())
-        number = len(r.starts)
+        number, script = len(r.starts), _script(text, start, body_end)
         r.starts.append(begin)
         r.ends.append(body_end)
         before = None
-        for c in candidates(text, start, end, flat, least):
+        for c in candidates(text, start, end, flat, least, script):
             after = c.at
             while text[after].isspace():
                 after += 1
@@ -398,10 +410,11 @@ def read(text: str) -> Reading:
             r.step.append(step)
             r.key.append(c.key)
             before = c
-        script = _script(text, start, body_end)
         m = None
-        for m in _MARKS.finditer(text, max(start, body_end - 12), body_end):  # noqa: B007
-            pass
+        tail = text[max(start, body_end - 12) : body_end].rstrip(_CLOSERS + " ")
+        if tail and tail[-1] in _FINAL:
+            for m in _MARKS.finditer(text, max(start, body_end - 12), body_end):  # noqa: B007
+                pass
         if m and m.end() == body_end:
             token = _before(text, start, m.start())
             mark = f"{_mark(m.group())}|{script}"
@@ -666,43 +679,63 @@ def fit(df: DataFrame, text_col: str, read_: DataFrame, min_count: int = MIN_COU
     )
     rows = pooled.groupBy(*keys).agg(F.sum("n").alias("n")).orderBy(*keys).collect()
     model = train([tuple(r) for r in rows])
-    kinds = {r[0] for r in gaps.where("shape = '<gap>'").select("mark").distinct().collect()}
+    any_gaps = bool(gaps.where("shape = '<gap>'").take(1))
     discard(gaps)
-    if kinds:
-        model = replace(model, **_gap_odds(df, text_col, kinds, min_count, tokens))
+    if any_gaps:
+        model = replace(model, **_gap_odds(df, text_col, min_count, tokens))
     return replace(model, steps=_steps(read_, model))
 
 
-def _gap_odds(df: DataFrame, text_col: str, kinds: set[str], min_count: int, tokens: int) -> dict:
+def _gap_counts(text: str, counts: dict[str, Counter]) -> None:
+    """Add what stands in a text, begins and ends its sentences: words, and pairs of letters of scripts without spaces."""
+    for part in _ENDS.split(text.lower()):
+        words = [w for w in _PLAIN.findall(part) if not _is_han(w[0])]
+        if words:
+            counts["n"].update(("<gap>|words", w) for w in words)
+            counts["b"]["<gap>|words", words[0]] += 1
+            counts["e"]["<gap>|words", words[-1]] += 1
+        runs = [r for r in _HAN_RUN.findall(part) if len(r) > 1]
+        if runs:
+            counts["n"].update(("<gap>|han", r[i : i + 2]) for r in runs for i in range(len(r) - 1))
+            counts["b"]["<gap>|han", runs[0][:2]] += 1
+            counts["e"]["<gap>|han", runs[-1][-2:]] += 1
+
+
+def _gap_odds(df: DataFrame, text_col: str, min_count: int, tokens: int) -> dict:
     """How often words, and pairs of letters of scripts without spaces, begin and end units."""
-    text = F.lower(F.col(f"`{text_col}`"))
-    finals, closers = re.escape(_FINAL), r"[\"\u201d\u2019»)\]」』]*"
-    word, pair = r"[\p{L}\p{M}\p{N}]+", f"[{_HAN}]{{2}}"
-    out: dict[str, dict] = {"begins": {}, "finishes": {}, "gap": {}}
-    for mark, all_, begins, finishes in (
-        ("<gap>|words", rf"({word})", rf"(?m)(?:^|[{finals}]{closers}\s+)[^\p{{L}}\p{{N}}\n]*({word})", rf"({word}){closers}[{finals}]"),
-        ("<gap>|han", rf"(?=({pair}))", rf"(?m)(?:^|[{finals}]{closers})({pair})", rf"({pair}){closers}[{finals}]"),
-    ):
-        if mark not in kinds:
-            continue
-        terms = None
-        for kind, pattern in (("n", all_), ("b", begins), ("e", finishes)):
-            one = df.select(F.explode(F.regexp_extract_all(text, F.lit(pattern), F.lit(1))).alias("t"), F.lit(kind).alias("k"))
-            terms = one if terms is None else terms.unionByName(one)
-        counts = terms.groupBy("t").agg(*[F.sum((F.col("k") == k).cast("double")).alias(k) for k in "nbe"])
-        counts = written(counts.where((F.col("n") > 0) & (F.col("t") != "")))
-        n, b, e = counts.agg(*[F.coalesce(F.sum(c), F.lit(0.0)) for c in "nbe"]).first()
-        for side, total in (("b", b), ("e", e)):
-            share = min(0.5, max(total, 0.5) / max(n, 1.0))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts = {k: Counter() for k in "nbe"}
+
+        def out() -> pd.DataFrame:
+            rows = [(m, t, float(n), float(counts["b"][m, t]), float(counts["e"][m, t])) for (m, t), n in counts["n"].items()]
+            return pd.DataFrame(rows, columns=["mark", "t", "n", "b", "e"])
+
+        for pdf in batches:
+            for text in pdf["c"]:
+                if text:
+                    _gap_counts(text, counts)
+                if len(counts["n"]) > 200_000:
+                    yield out()
+                    for c in counts.values():
+                        c.clear()
+        yield out()
+
+    counts = spread(df.select(F.col(f"`{text_col}`").alias("c"))).mapInPandas(run, "mark string, t string, n double, b double, e double")
+    counts = written(counts.groupBy("mark", "t").agg(*[F.sum(c).alias(c) for c in "nbe"]))
+    model: dict[str, dict] = {"begins": {}, "finishes": {}, "gap": {}}
+    for mark, n, b, e in counts.groupBy("mark").agg(*[F.sum(c).alias(c) for c in "nbe"]).collect():
+        often = counts.where((F.col("mark") == mark) & (F.col("n") >= max(float(min_count), n / tokens))).select("t", "n", "b", "e").collect()
+        for side, into, total in (("b", model["begins"], b), ("e", model["finishes"], e)):
+            share = min(0.5, total / n)
             base = math.log(share / (1 - share))
-            into = out["begins" if side == "b" else "finishes"]
-            for r in counts.where(F.col("n") >= max(float(min_count), n / tokens)).select("t", "n", F.least(side, "n").alias("x")).collect():
-                p = (r.x + 5 * share) / (r.n + 5 + 1e-9)
+            for r in often:
+                p = min(1 - 1e-6, (r[side] + 5 * share) / (r.n + 5))
                 into[r.t] = math.log(p / (1 - p)) - base
             if side == "b":
-                out["gap"][mark] = base
-        discard(counts)
-    return out
+                model["gap"][mark] = base
+    discard(counts)
+    return model
 
 
 def _steps(read_: DataFrame, model: Model) -> tuple:
@@ -713,8 +746,8 @@ def _steps(read_: DataFrame, model: Model) -> tuple:
 
         def rows(block, key, step) -> Iterator[tuple]:  # noqa: ANN001
             sums = [[0.0, 0.0, 0.0, 0.0] for _ in STEPS]  # pairs, boundary at the first, at the second, at both
-            step = list(step)
-            for i, j, one, both in splitter.blocks(list(block), list(key), step):
+            step = step.tolist()
+            for i, j, one, both in splitter.blocks(block.tolist(), key.tolist(), step):
                 for k in range(i + 1, j):
                     s = sums[step[k]]
                     s[0] += 1
@@ -756,7 +789,7 @@ def sentence_units(df: DataFrame, id_col: str, text_col: str, model: Model | Non
         splitter = Splitter(model)
 
         def rows(key, *columns) -> Iterator[tuple]:  # noqa: ANN001
-            for k, (a, b) in enumerate(splitter.units(*(list(c) for c in columns), threshold)):
+            for k, (a, b) in enumerate(splitter.units(*(c.tolist() for c in columns), threshold)):
                 yield key, k, a, b
 
         return rows
