@@ -141,9 +141,11 @@ class Rewriter:
         for a, b in self.table.items():
             self.automaton.add_word(a, (a, b))
         self.automaton.make_automaton()
-        singles = "".join(re.escape(a) for a in self.table if len(a) == 1)
         # composed letters of other scripts hide their base letter
-        self.suspect = re.compile(f"[{singles}̀-ͯΆ-ώἀ-῿Ѐ-ԯ]")
+        signs = sorted({ord(a) for a in self.table if len(a) == 1} | {c for a, b in ((0x300, 0x370), (0x386, 0x3CF), (0x1F00, 0x2000), (0x400, 0x530)) for c in range(a, b)})
+        self.suspect = re.compile(f"[{char_class(signs)}]")
+        # the engine looks up at once among the signs of the first plane
+        self.plane = re.compile(f"[{char_class([c for c in signs if c < 0x10000])}]")
         self.alike = {a for a in self.table if len(a) == 1 and a.isalpha()}
         self.hidden = {ord(a): None for a, b in self.table.items() if b == ""}
 
@@ -167,7 +169,8 @@ class Rewriter:
     def rewrite(self, text: str) -> str:
         if text.isascii():
             return text
-        if not self.suspect.search(text) and unicodedata.is_normalized("NFC", text):
+        suspect = self.plane if max(text) < "\U00010000" else self.suspect
+        if not suspect.search(text) and unicodedata.is_normalized("NFC", text):
             return text
         text = unicodedata.normalize("NFD", text.translate(self.hidden))
         kept = self._kept(text)

@@ -45,6 +45,55 @@ def test_pii_disguises_map_back():
     assert spans[0][1] == unicodedata.normalize("NFD", "K​huể") and spans[1][1] == "０９１２ ３４５ ６７８"
 
 
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("gọi không chín 12 ba bốn 5 sáu bảy tám nhé", [("PHONE", "không chín 12 ba bốn 5 sáu bảy tám")]),
+        ("CCCD số không bảy chín một hai ba bốn năm sáu bảy tám chín", [("ID", "không bảy chín một hai ba bốn năm sáu bảy tám chín")]),
+        ("gọi O912345678 ngay, hoặc 09l2345678", [("PHONE", "O912345678"), ("PHONE", "09l2345678")]),
+        ("gọi +1 415 555 2671 nhé, hay +44 20 7946 0958.", [("PHONE", "+1 415 555 2671"), ("PHONE", "+44 20 7946 0958")]),
+        ("Uống 2 viên, hai ba lần, 5 ngày; mạch 80 lần/phút", []),
+    ],
+)
+def test_numbers_in_disguise(text, want):
+    assert found(text) == want
+
+
+def test_tapes_map_back():
+    """What two rewritings leave in place comes back to where it stood; what they wrote, to what it came from."""
+    rng = random.Random(6)
+    for _ in range(300):
+        source = "".join(rng.choices("abcdef", k=rng.randint(1, 30)))
+        tape, origin = pii.Tape(source), [(i, i + 1) for i in range(len(source))]
+        for _ in range(3):
+            edits, at, now = [], 0, []
+            while at < len(tape.text):
+                end = min(len(tape.text), at + rng.randint(1, 3))
+                if rng.random() < 0.4:
+                    new = rng.choice(["", "X", "YZ"])
+                    edits.append((at, end, new))
+                    now += [(origin[at][0], origin[end - 1][1])] * len(new)
+                else:
+                    now += origin[at:end]
+                at = end
+            tape, origin = tape.rewrite(edits), now
+            assert len(tape.text) == len(origin)
+        for _ in range(5):
+            if tape.text:
+                a = rng.randrange(len(tape.text))
+                b = rng.randint(a + 1, len(tape.text))
+                assert tape.back(a, b) == (origin[a][0], origin[b - 1][1])
+
+
+def test_names_by_their_parts(spark):
+    texts = ["BN Nguyễn Văn An vào viện.", "Ông Trần Văn Bình kể.", "Bác sĩ Nguyễn Thị Lan khám.", "Bà Trần Thị Bình ho.", "Chị Nguyễn Thị An sốt.", "Ông Trần Văn Lan đau.", "Khám Tai Mũi Họng hôm nay.", "Chụp Cộng Hưởng Từ ở khoa."] * 5
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    parts = pii.fit_names(df, "t")
+    names = lambda t: [t[a:b] for k, a, b in pii.find_pii(t, parts) if k == "NAME"]
+    assert names("Gặp Nguyễn Văn An ở phòng khám") == ["Nguyễn Văn An"] and found("Gặp Nguyễn Văn An ở phòng khám") == []
+    assert names("Khám tại Bệnh viện Nguyễn Văn An, phố Trần Thị Lan") == [] and names("Chụp Cộng Hưởng Từ") == []
+
+
 def test_pii_operator(spark):
     rows = [("1", "Chị Lan gọi 0912345678."), ("2", None), ("3", ""), (None, "Hộ chiếu Q1234567"), ("4", "x" * 300_000)]
     df = spark.createDataFrame([(*r, "c") for r in rows], "id string, body string, kind string")
