@@ -6,6 +6,9 @@ label. Types and sets of assertions are labels of that kind. A span's start and
 same way, with the positions seen on the item as candidates and, per annotator, a distribution of
 the distance between what is written and what is true.
 
+The features are those of the item: words of the passage it is about and of what stands around it in
+the note (hashed), its site, its length and its place.
+
 The labels of an item are brought together once; every iteration is one pass over that table which
 shuffles only sums of as many numbers as there are parameters.
 """
@@ -20,18 +23,26 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanloom.plans.runtime import spread, written
+from spanloom.plans.runtime import discard, spread, written
 
 ITERATIONS = 8
+#: The iterations end when no parameter moves by more.
+SETTLED = 0.005
 #: Items on which the classifier is fitted, at most (all other statistics cover all items).
-CLASSIFIER_ITEMS = 20_000
+CLASSIFIER_ITEMS = 10_000
 #: Largest distance of a position from the true one that is told apart.
 REACH = 5
-#: Largest number of annotators, types or sets of assertions; they are parameters kept in memory.
-MAX_LABELS = 5_000
+#: Most bytes of all annotators' parameters, which every worker holds: some 60,000 annotators with the
+#: types and assertions of clinical notes. More raise ValueError.
+PARAMETER_BYTES = 64_000_000
 
-_SITES, _LENGTHS, _PLACES = 16, 14, 12
-_WIDTH = _SITES + _LENGTHS + _PLACES + 1
+_SITES, _LENGTHS, _PLACES, _WORDS = 16, 14, 12, 2048
+#: Words of a passage that are features, from its beginning, and words before and behind it.
+PASSAGE_WORDS, BEFORE_WORDS, AFTER_WORDS = 6, 2, 1
+_PER_ITEM = 4 + PASSAGE_WORDS + 1 + BEFORE_WORDS + AFTER_WORDS
+#: Features, and the one that has no weight, for items with fewer words.
+_WIDTH = _SITES + _LENGTHS + _PLACES + 1 + _WORDS
+_NONE = _WIDTH
 
 
 @dataclass
@@ -46,6 +57,7 @@ class Flat:
     start: np.ndarray
     end: np.ndarray
     site: np.ndarray
+    words: np.ndarray  # hashed words, one row per item
 
     @classmethod
     def of(cls, batch: pa.RecordBatch | pa.Table) -> Flat:
@@ -58,21 +70,28 @@ class Flat:
         c = c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c
         lengths = c.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
         site = batch.column("site").to_numpy() if isinstance(batch, pa.Table) else batch.column("site").to_numpy(zero_copy_only=False)
-        return cls(len(lengths), np.repeat(np.arange(len(lengths)), lengths), flat("a"), flat("t"), flat("m"), flat("s"), flat("e"), site)
+        w = batch.column("w")
+        w = w.combine_chunks() if isinstance(w, pa.ChunkedArray) else w
+        sizes = w.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+        words = np.full((len(lengths), _PER_ITEM - 4), _NONE)
+        row = np.repeat(np.arange(len(sizes)), sizes)
+        words[row, np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = w.flatten().to_numpy(zero_copy_only=False) + (_WIDTH - _WORDS)
+        return cls(len(lengths), np.repeat(np.arange(len(lengths)), lengths), flat("a"), flat("t"), flat("m"), flat("s"), flat("e"), site, words)
 
     def features(self) -> np.ndarray:
-        """One-hot features per item: hashed site, bucket of the mean span length, of the place."""
+        """The features each item has, by number: hashed site, bucket of the mean span length and of the place,
+        the one that all have, and its words."""
         known = (self.start >= 0) & (self.end >= 0)
         count = np.maximum(1, np.bincount(self.item[known], minlength=self.n))
         length = np.bincount(self.item[known], (self.end - self.start)[known], minlength=self.n) / count
         place = np.bincount(self.item[known], self.start[known], minlength=self.n) / count
-        x = np.zeros((self.n, _WIDTH))
-        row = np.arange(self.n)
-        x[row, self.site % _SITES] = 1
-        x[row, _SITES + np.clip(np.log2(np.maximum(length, 1)) * 2, 0, _LENGTHS - 1).astype(int)] = 1
-        x[row, _SITES + _LENGTHS + np.clip(np.log2(np.maximum(place, 1)), 0, _PLACES - 1).astype(int)] = 1
-        x[:, -1] = 1
-        return x
+        own = [
+            self.site % _SITES,
+            _SITES + np.clip(np.log2(np.maximum(length, 1)) * 2, 0, _LENGTHS - 1).astype(int),
+            _SITES + _LENGTHS + np.clip(np.log2(np.maximum(place, 1)), 0, _PLACES - 1).astype(int),
+            np.full(self.n, _SITES + _LENGTHS + _PLACES),
+        ]
+        return np.column_stack([*own, self.words])
 
 
 @dataclass
@@ -88,7 +107,10 @@ class Model:
     weights: dict[str, np.ndarray] = field(default_factory=dict)
 
     def prior(self, what: str, x: np.ndarray) -> np.ndarray:
-        z = x @ self.weights[what]
+        w = self.weights[what]
+        z = np.zeros((len(x), w.shape[1]))
+        for column in x.T:
+            z += w[column]
         z -= z.max(1, keepdims=True)
         return z - np.log(np.exp(z).sum(1, keepdims=True))
 
@@ -166,20 +188,30 @@ class Model:
             self.distance[what] = c / c.sum(1, keepdims=True)
             at += n
 
-    def fit_classifier(self, sample: Flat, steps: int = 30, rate: float = 0.5, l2: float = 1e-3) -> None:
-        """Regularised softmax regression of the posteriors on the features, by adaptive gradients."""
+    def fit_classifier(self, sample: Flat, steps: int = 20, l2: float = 1e-3) -> None:
+        """Regularised softmax regression of the posteriors on the features, going on from the weights there are.
+
+        Accelerated descent with a step per feature: half the number of features of an item times a feature's
+        share of the items bounds the curvature, so no rate has to be chosen.
+        """
+        if not sample.n:
+            return
         x = sample.features()
-        for what, k in (("type", self.types), ("mark", self.marks)):
-            w = self.weights.setdefault(what, np.zeros((_WIDTH, k)))
-            if not sample.n:
-                continue
+        flat = x.ravel()
+        step = 1 / (0.5 * x.shape[1] * np.bincount(flat, minlength=_WIDTH + 1) / sample.n + l2)
+        step[_NONE] = 0
+        for what in ("type", "mark"):
             q = self.labels(sample, what, x)
-            g2 = np.full_like(w, 1e-8)
-            for _ in range(steps):
-                g = x.T @ (np.exp(self.prior(what, x)) - q) / sample.n + l2 * w
-                g2 += g * g
-                w = w - rate * g / np.sqrt(g2)
-                self.weights[what] = w
+            w = ahead = self.weights[what]
+            for k in range(steps):
+                self.weights[what] = ahead
+                off = (np.exp(self.prior(what, x)) - q) / sample.n
+                g = l2 * ahead
+                for j in range(w.shape[1]):
+                    g[:, j] += np.bincount(flat, np.repeat(off[:, j], x.shape[1]), minlength=_WIDTH + 1)
+                new = ahead - step[:, None] * g
+                ahead, w = new + k / (k + 3) * (new - w), new
+            self.weights[what] = w
 
 
 @dataclass
@@ -258,17 +290,36 @@ class Consensus:
         )
 
 
-def _alphabet(rows: list, what: str) -> list[str]:
-    if len(rows) > MAX_LABELS:
-        raise ValueError(f"more than {MAX_LABELS} {what}")
-    return sorted(r[0] for r in rows)
+def _numbered(rows: DataFrame, c: str, most: int) -> tuple[list[str], DataFrame]:
+    """The distinct values of a column in order, and a table (c, c_no) of their numbers; more than ``most`` raise."""
+    values = sorted(r[0] for r in rows.where(F.col(c).isNotNull()).select(c).distinct().limit(most + 1).collect())
+    if len(values) > most:
+        raise ValueError(f"more than {most} values of {c}: their parameters don't fit")
+    table = rows.sparkSession.createDataFrame(list(zip(values, range(len(values)), strict=True)), f"{c} {dict(rows.dtypes)[c]}, {c}_no int")
+    return values, F.broadcast(table)  # at most ``most`` rows
+
 
+def passage_words(text: F.Column, start: F.Column, end: F.Column) -> F.Column:
+    """Hashed words of a passage and of what stands next to it, each kind apart; none for a NULL text."""
 
-def _index(values: list[str], c: F.Column) -> F.Column:
-    if not values:
-        return F.lit(-1)
-    table = F.create_map(*[x for i, v in enumerate(values) for x in (F.lit(v), F.lit(i))])
-    return F.coalesce(F.try_element_at(table, F.coalesce(c, F.lit("\0"))), F.lit(-1))
+    def words(c: F.Column) -> F.Column:
+        return F.filter(F.split(F.lower(c), r"[^\p{L}\p{M}\p{N}]+"), lambda w: w != "")
+
+    def hashed(kind: str, c: F.Column) -> F.Column:
+        return F.transform(c, lambda w: F.pmod(F.xxhash64(F.lit(kind), w), F.lit(_WORDS)).cast("int"))
+
+    inside = words(F.substring(text, start + 1, end - start))
+    first = F.greatest(start - 40, F.lit(0))
+    before = words(F.substring(text, first + 1, start - first))
+    after = words(F.substring(text, end + 1, F.lit(30)))
+    none = F.array().cast("array<int>")
+    parts = F.concat(
+        hashed("in", F.slice(inside, 1, PASSAGE_WORDS)),
+        hashed("all", F.when(F.size(inside) > 0, F.array(F.array_join(inside, " "))).otherwise(F.array().cast("array<string>"))),
+        hashed("before", F.slice(F.reverse(before), 1, BEFORE_WORDS)),
+        hashed("after", F.slice(after, 1, AFTER_WORDS)),
+    )
+    return F.when(text.isNotNull() & (start >= 0) & (end > start), parts).otherwise(none)
 
 
 def fit_consensus(
@@ -280,11 +331,17 @@ def fit_consensus(
     position: str = "position",
     time: str = "labelled_at",
     site: str | None = "site_code",
+    texts: DataFrame | None = None,
+    record: str = "record_id",
+    text: str = "raw_text",
     iterations: int = ITERATIONS,
     classifier_items: int = CLASSIFIER_ITEMS,
 ) -> Consensus:
     """Fit consensus labels and annotator reliabilities; see ``Consensus`` for the results.
 
+    ``texts`` (record, text; one row per record) gives the notes that the items are about; without them, or
+    without the record of an item, its features are its site, length and place only.
+
     Of several rows of an annotator on an item the one with the latest ``time`` counts. Rows
     without any label (type, assertions and position NULL) don't count; an item with no other
     rows has no consensus and is left out. Assertions are a set: order and repeats don't matter.
@@ -310,34 +367,43 @@ def fit_consensus(
                 F.get(c["p"], F.lit(1)).cast("int").alias("e"),
             ).alias("o"),
             (F.pmod(F.xxhash64(F.col(f"`{site}`")), F.lit(1 << 20)) if site else F.lit(0)).alias("site"),
+            (F.col(f"`{record}`") if texts is not None else F.lit(None).cast("string")).alias("record"),
         )
         .groupBy("item", "who")
-        .agg(F.max("o").alias("o"), F.min("site").alias("site"))
-        .select("item", "who", "o.t", "o.m", "o.s", "o.e", "site")
+        .agg(F.max("o").alias("o"), F.min("site").alias("site"), F.min("record").alias("record"))
+        .select("item", "who", "o.t", "o.m", "o.s", "o.e", "site", "record")
     )
     rows = written(rows)
-    annotators = _alphabet(rows.select("who").distinct().limit(MAX_LABELS + 1).collect(), "annotators")
-    types = _alphabet(rows.where("t is not null").select("t").distinct().limit(MAX_LABELS + 1).collect(), "types")
-    marks = _alphabet(rows.where("m is not null").select("m").distinct().limit(MAX_LABELS + 1).collect(), "sets of assertions")
-    # an item has as many labels as it has annotators, of whom there are MAX_LABELS at most
+    types, type_no = _numbered(rows, "t", 1_000)
+    marks, mark_no = _numbered(rows, "m", 1_000)
+    annotators, who_no = _numbered(rows, "who", PARAMETER_BYTES // (8 * (len(types) ** 2 + len(marks) ** 2 + 2 * (2 * REACH + 1))))
+    known = rows.join(who_no, "who").join(type_no, "t", "left").join(mark_no, "m", "left")
+    # an item has as many labels as it has annotators, whose number is bounded
     label = F.struct(
-        _index(annotators, F.col("who")).alias("a"), _index(types, F.col("t")).alias("t"), _index(marks, F.col("m")).alias("m"),
+        F.col("who_no").alias("a"), F.coalesce("t_no", F.lit(-1)).alias("t"), F.coalesce("m_no", F.lit(-1)).alias("m"),
         F.coalesce("s", F.lit(-1)).alias("s"), F.coalesce("e", F.lit(-1)).alias("e"),
     )
     grouped = (
-        rows.select("item", label.alias("l"), "site")
+        known.select("item", label.alias("l"), "site", "record")
         .groupBy("item")
-        .agg(F.array_sort(F.collect_list("l")).alias("l"), F.min("site").cast("long").alias("site"))
-        .select(F.col("item").alias(item), "site", *[F.col(f"l.{x}").alias(x) for x in "atmse"])
+        .agg(F.array_sort(F.collect_list("l")).alias("l"), F.min("site").cast("long").alias("site"), F.min("record").alias("record"))
+        .select(F.col("item").alias(item), "site", "record", *[F.col(f"l.{x}").alias(x) for x in "atmse"])
     )
-    items = written(grouped)
+    if texts is None:
+        grouped = grouped.withColumn("w", F.array().cast("array<int>"))
+    else:
+        middle = lambda c: F.get(F.array_sort(F.filter(c, lambda x: x >= 0)), F.floor(F.size(F.filter(c, lambda x: x >= 0)) / 2).cast("int"))
+        notes = texts.select(F.col(f"`{record}`").alias("record"), F.col(f"`{text}`").alias("note"))
+        grouped = grouped.join(notes, "record", "left").withColumn("w", passage_words(F.col("note"), middle("s"), middle("e"))).drop("note")
+    items = written(grouped.drop("record"))
+    discard(rows)
     model = Model(len(annotators), max(1, len(types)), max(1, len(marks)), REACH)
     n = items.count()
     share = max(1, -(-n // classifier_items))
     chosen = items if share == 1 else items.where(F.pmod(F.xxhash64(F.lit("sample"), F.col(item)), F.lit(share)) == 0)
     sample = Flat.of(chosen.limit(2 * classifier_items).toArrow())
-    model.weights = {"type": np.zeros((_WIDTH, model.types)), "mark": np.zeros((_WIDTH, model.marks))}
-    work = spread(items.select("site", *"atmse"))
+    model.weights = {"type": np.zeros((_WIDTH + 1, model.types)), "mark": np.zeros((_WIDTH + 1, model.marks))}
+    work = spread(items.select("site", *"atmsew"))
     for _ in range(iterations if n else 1):
         fixed = Model(model.annotators, model.types, model.marks, model.reach, dict(model.confusion), dict(model.distance), dict(model.weights))
 
@@ -355,6 +421,10 @@ def fit_consensus(
         sums = np.zeros(size)
         for r in work.mapInArrow(run, "k long, v double").groupBy("k").agg(F.sum("v").alias("v")).collect():
             sums[r["k"]] = r["v"]
+        before = {**fixed.confusion, **fixed.distance}
         model.update(sums)
         model.fit_classifier(sample)
+        now = {**model.confusion, **model.distance}
+        if before and all(np.abs(now[k] - before[k]).max(initial=0.0) < SETTLED for k in now):
+            break
     return Consensus(items, model, annotators, types, marks, item)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanloom.llm.consensus import fit_consensus
+from spanloom.llm.consensus import Consensus, fit_consensus
 from spanloom.llm.leakage import find_leaks
 from spanloom.llm.lookalike import learn, to_consistent
 from spanloom.llm.mapping import map_values
@@ -131,22 +131,28 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 # --- problem 6: consensus ------------------------------------------------------------------------
 
 
+def _consensus(spark: SparkSession, d: str) -> Consensus:
+    notes = read_table(spark, d, "input_notes").where("raw_text is not null")
+    notes = notes.groupBy("record_id").agg(F.max_by("raw_text", F.struct("received_at", "raw_text")).alias("raw_text"))
+    return fit_consensus(read_table(spark, d, "terra_labels"), texts=notes)
+
+
 @query("p6_items")
 def p6_items(spark: SparkSession, d: str) -> DataFrame:
     """Consensus, confidence and agreement of every item."""
-    items = fit_consensus(read_table(spark, d, "terra_labels")).per_item()
+    items = _consensus(spark, d).per_item()
     return items.withColumns({c: F.round(c, 6) for c in ("confidence", "agreement")})
 
 
 @query("p6_annotators")
 def p6_annotators(spark: SparkSession, d: str) -> DataFrame:
     """Reliability of every annotator."""
-    return fit_consensus(read_table(spark, d, "terra_labels")).per_annotator()
+    return _consensus(spark, d).per_annotator()
 
 
 @query("p6_found")
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
-    items = fit_consensus(read_table(spark, d, "terra_labels")).per_item()
+    items = _consensus(spark, d).per_item()
     values = {
         "type": F.col("type"),
         "assertions": F.array_join(F.array_sort("assertions"), ","),
