@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spanloom.functions.text import bind
 from spanloom.plans.runtime import discard, spread, written
 
 ITERATIONS = 8
@@ -308,17 +309,22 @@ def passage_words(text: F.Column, start: F.Column, end: F.Column) -> F.Column:
     def hashed(kind: str, c: F.Column) -> F.Column:
         return F.transform(c, lambda w: F.pmod(F.xxhash64(F.lit(kind), w), F.lit(_WORDS)).cast("int"))
 
-    inside = words(F.substring(text, start + 1, end - start))
+    # the long text is cut once, the rest is read from the short piece
     first = F.greatest(start - 40, F.lit(0))
-    before = words(F.substring(text, first + 1, start - first))
-    after = words(F.substring(text, end + 1, F.lit(30)))
     none = F.array().cast("array<int>")
-    parts = F.concat(
-        hashed("in", F.slice(inside, 1, PASSAGE_WORDS)),
-        hashed("all", F.when(F.size(inside) > 0, F.array(F.array_join(inside, " "))).otherwise(F.array().cast("array<string>"))),
-        hashed("before", F.slice(F.reverse(before), 1, BEFORE_WORDS)),
-        hashed("after", F.slice(after, 1, AFTER_WORDS)),
-    )
+
+    def of_passage(ws: F.Column) -> F.Column:
+        whole = F.when(F.size(ws) > 0, F.array(F.array_join(ws, " "))).otherwise(F.array().cast("array<string>"))
+        return F.concat(hashed("in", F.slice(ws, 1, PASSAGE_WORDS)), hashed("all", whole))
+
+    def of_piece(piece: F.Column) -> F.Column:
+        return F.concat(
+            bind(words(F.substring(piece, start - first + 1, end - start)), of_passage),
+            hashed("before", F.slice(F.reverse(words(F.substring(piece, F.lit(1), start - first))), 1, BEFORE_WORDS)),
+            hashed("after", F.slice(words(F.substring(piece, end - first + 1, F.lit(30))), 1, AFTER_WORDS)),
+        )
+
+    parts = bind(F.substring(text, first + 1, end - first + 30), of_piece)
     return F.when(text.isNotNull() & (start >= 0) & (end > start), parts).otherwise(none)
 
 
