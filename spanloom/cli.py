@@ -13,6 +13,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spanloom.functions import text as X
 from spanloom.operators import scoring, terminology, validation
 from spanloom.plans import pipeline
 from spanloom.sources import files, sinks
@@ -53,6 +54,8 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--sheet")
     c.add_argument("--code", default="MÃ BỆNH")
     c.add_argument("--names", default="TÊN BỆNH", help="name columns in order, comma-separated")
+    c.add_argument("--category", help="columns of the heading's code and name, comma-separated")
+    c.add_argument("--synonyms", help="column of synonyms")
     c.add_argument("--archive")
     c.add_argument("--unpack-to")
     c.add_argument("--output", required=True)
@@ -98,9 +101,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             print(r["a"], r["b"], "preserved" if r["preserved"] else "reversed")
     elif a.command in ("validate", "package"):
         records, concepts = files.read_records(spark, a.input), files.read_concepts(spark, a.output)
-        present = spark.read.text(a.output, wholetext=True, pathGlobFilter="*.json").select(F.regexp_extract("_metadata.file_name", r"^(\d+)\.json$", 1).alias("record_id"))
-        gaps = validation.missing_and_extra(records, present)
-        bad = gaps.unionByName(validation.first_violation(concepts, records).select("record_id", F.col("rule").alias("status"))).collect()
+        bad = validation.output_report(concepts, records, files=files.read_concept_files(spark, a.output)).collect()
         for r in bad:
             print(r["record_id"], r["status"])
         if bad:
@@ -110,8 +111,19 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             print(sinks.write_package(sinks.concept_lists(flat, records), a.zip), "records packaged")
     elif a.sheet:
         sheet = files.read_code_sheet(spark, a.sheet)
-        parts = F.array(*[F.struct((F.col("ord") * 100 + i).alias("ord"), F.trim(F.col(f"`{n.strip()}`")).alias("name")) for i, n in enumerate(a.names.split(","))])
-        rows = sheet.select(F.col(f"`{a.code}`").alias("code"), F.explode(parts).alias("p")).select("code", "p.ord", "p.name")
+        code = X.dotted_code(F.col(f"`{a.code}`"))
+        columns = [n.strip() for n in a.names.split(",")]
+        parts = [F.struct((F.col("ord") * 1000 + i).alias("ord"), X.clean_name(F.col(f"`{n}`")).alias("name")) for i, n in enumerate(columns)]
+        if a.category:  # the heading above a code is an entry of its own, behind it
+            c, n = a.category.split(",")
+            above = sheet.select(X.dotted_code(F.col(f"`{c.strip()}`")).alias("code"), (F.col("ord") * 1000 + len(columns)).alias("ord"), X.clean_name(F.col(f"`{n.strip()}`")).alias("name"))
+        rows = sheet.select(code.alias("code"), F.explode(F.array(*parts)).alias("p")).select("code", "p.ord", "p.name")
+        if a.category:
+            rows = rows.unionByName(above)
+        if a.synonyms:
+            more = sheet.select(code.alias("code"), F.col("ord").alias("_o"), F.posexplode(X.who_synonyms(F.col(f"`{a.synonyms}`"))).alias("_i", "name"))
+            rows = rows.unionByName(more.select("code", (F.col("_o") * 1000 + 500 + F.col("_i")).alias("ord"), X.clean_name(F.col("name")).alias("name")))
+        rows = rows.where("lower(name) != 'nan'")
         sinks.write_terms(terminology.fold_aliases(rows), a.output)
     elif a.archive:
         rows = files.read_rrf_archive(spark, a.archive, a.unpack_to or os.path.dirname(os.path.abspath(a.output)))

@@ -17,9 +17,10 @@ _SURFACE_EDGE = " ,;:."
 _NAME_EDGE = " ,;:"
 # Route and frequency words of a prescription, and the units of strengths.
 DRUG_NOISE = (
-    "po iv im sc sl pr tid bid qd qid qhs qam qpm prn q\\d+h(?::prn)? daily twice once uống tiêm truyền lần ngày viên tab cap caps"
-).split()
-UNITS = "mg mcg µg ug g ml iu meq mmol".split()
+    "po", "iv", "im", "sc", "sl", "pr", "tid", "bid", "qd", "qid", "qhs", "qam", "qpm", "prn", r"q\d+h(?::prn)?", "daily", "twice", "once",
+    "uống", "tiêm", "truyền", "lần", "ngày", "viên", "tab", "cap", "caps",
+)
+UNITS = ("mg", "mcg", "µg", "ug", "g", "ml", "iu", "meq", "mmol")
 # Assertion cues.
 NEGATION_CUES = (
     "chưa ghi nhận", "không ghi nhận", "chưa phát hiện", "không phát hiện", "không thấy", "chưa thấy", "phủ nhận", "loại trừ",
@@ -74,12 +75,13 @@ def normalize_term(c: Column, fold_dstroke: bool = False) -> Column:
 
 
 def clean_mention(c: Column, is_drug: Column) -> Column:
-    """White space collapsed; of drugs also route and frequency words dropped and strengths spelled alike."""
+    """White space collapsed; of drugs also route and frequency words dropped, decimal commas written as points,
+    and one blank before every unit that ends a word, whatever stands before it."""
     x = collapse(c)
     word = "(?<![\\p{L}\\p{N}_])(?:" + "|".join(DRUG_NOISE) + ")(?![\\p{L}\\p{N}_])"
     d = F.regexp_replace(x, "(?iu)" + word, " ")
     d = F.regexp_replace(d, r"(\d),(\d)", "$1.$2")
-    d = F.regexp_replace(d, r"(?iu)(\d)\s*(" + "|".join(UNITS) + r")(?![\p{L}\p{N}_])", "$1 $2")
+    d = F.regexp_replace(d, r"(?iu)\s*(" + "|".join(UNITS) + r")(?![\p{L}\p{N}_])", " $1")
     return F.when(is_drug, collapse(d)).otherwise(x)
 
 

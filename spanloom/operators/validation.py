@@ -26,9 +26,10 @@ def sanitize_codes(type_: Column, codes: Column, most: int = 10, allowed: Column
     return F.slice(F.array_distinct(fit), 1, most)
 
 
+REQUIRED_KEYS = ("text", "type", "assertions", "position")
 #: The rules in the order in which a record is read.
 RULES = (
-    "type", "candidates_presence", "position", "bounds", "text", "assertion_value", "assertion_type", "assertion_repeat",
+    "list", "object", "keys", "type", "candidates_presence", "position", "bounds", "text", "assertion_value", "assertion_type", "assertion_repeat",
     "candidate_null", "candidate_form", "candidate_repeat", "sorted", "unique",
 )
 
@@ -44,11 +45,11 @@ def violations(concepts: DataFrame, records: DataFrame, order: str = "ord") -> D
     c = c.join(records.select("record_id", "raw_text"), "record_id", "left")
     start, end = F.get("position", F.lit(0)), F.get("position", F.lit(1))
     w = Window.partitionBy("record_id").orderBy("ord")
-    here = F.struct(start.alias("s"), end.alias("e"))
     none = F.array().cast("array<string>")
     marks, codes = F.coalesce("assertions", none), F.coalesce("candidates", none)
     coded = F.coalesce(F.col("type").isin(*CODED), F.lit(False))
     shaped = F.coalesce(F.size("position") == 2, F.lit(False)) & start.isNotNull() & end.isNotNull()
+    here = F.when(shaped, F.struct(start.alias("s"), end.alias("e")))  # others have no place in the order
     form = lambda x: F.when(F.col("type") == "CHẨN_ĐOÁN", x.rlike(ICD_CODE)).otherwise(x.rlike(DRUG_CODE))
     broken = {
         "type": ~F.coalesce(F.col("type").isin(*TYPES), F.lit(False)),
@@ -65,20 +66,42 @@ def violations(concepts: DataFrame, records: DataFrame, order: str = "ord") -> D
         "sorted": F.coalesce(here < F.lag(here).over(w), F.lit(False)),
         "unique": shaped & (F.row_number().over(Window.partitionBy("record_id", start, end, "type").orderBy("ord")) > 1),
     }
-    checked = c.withColumns({f"_{i}": broken[r] for i, r in enumerate(RULES)})
-    found = F.array_compact(F.array(*[F.when(F.col(f"_{i}"), F.struct(F.lit(r).alias("rule"), F.lit(i).alias("rule_no"))) for i, r in enumerate(RULES)]))
+    checked = c.withColumns({f"_{i}": broken[r] for i, r in enumerate(RULES) if r in broken})
+    found = F.array_compact(F.array(*[F.when(F.col(f"_{i}"), F.struct(F.lit(r).alias("rule"), F.lit(i).alias("rule_no"))) for i, r in enumerate(RULES) if r in broken]))
     return checked.select("record_id", "ord", F.explode(found).alias("v")).select("record_id", "ord", "v.rule", "v.rule_no")
 
 
-def first_violation(concepts: DataFrame, records: DataFrame, order: str = "ord") -> DataFrame:
-    """(record_id, ord, rule): per record the violation met first when it is read in order."""
-    first = violations(concepts, records, order).groupBy("record_id").agg(F.min(F.struct("ord", "rule_no", "rule")).alias("v"))
+def file_violations(files: DataFrame) -> DataFrame:
+    """(record_id, ord, rule, rule_no) for what is wrong with concept files (record_id, value) as such: a
+    text that is no JSON list (``list``, with ord -1), elements that are no objects (``object``), objects
+    that lack text, type, assertions or position (``keys``; a key with a null value is there)."""
+    whole = F.coalesce(F.trim("value").startswith("[") & F.try_parse_json("value").isNotNull(), F.lit(False))
+    fault = lambda ord_, i: F.struct(ord_.alias("ord"), F.lit(RULES[i]).alias("rule"), F.lit(i).alias("rule_no"))
+    needed = F.array(*map(F.lit, REQUIRED_KEYS))
+
+    def of_element(x: Column, i: Column) -> Column:
+        ord_ = i.cast("long")
+        keys = F.coalesce(F.json_object_keys(x), F.array().cast("array<string>"))
+        return F.when(~F.coalesce(x.startswith("{"), F.lit(False)), fault(ord_, 1)).when(F.size(F.array_except(needed, keys)) > 0, fault(ord_, 2))
+
+    elements = F.array_compact(F.transform(F.from_json("value", "array<string>"), of_element))
+    found = F.when(whole, elements).otherwise(F.array(fault(F.lit(-1).cast("long"), 0)))
+    return files.select("record_id", F.explode(found).alias("v")).select("record_id", "v.ord", "v.rule", "v.rule_no")
+
+
+def first_violation(concepts: DataFrame, records: DataFrame, order: str = "ord", files: DataFrame | None = None) -> DataFrame:
+    """(record_id, ord, rule): per record the violation met first when it is read in order; with ``files``
+    (record_id, value) also those of the files as such."""
+    found = violations(concepts, records, order).withColumn("ord", F.col("ord").cast("long"))
+    if files is not None:
+        found = found.unionByName(file_violations(files))
+    first = found.groupBy("record_id").agg(F.min(F.struct("ord", "rule_no", "rule")).alias("v"))
     return first.select("record_id", "v.ord", "v.rule")
 
 
-def check_record(concepts: DataFrame, records: DataFrame, order: str = "ord") -> None:
+def check_record(concepts: DataFrame, records: DataFrame, order: str = "ord", files: DataFrame | None = None) -> None:
     """Raise ``RecordError`` if any record is broken."""
-    row = first_violation(concepts, records, order).orderBy("record_id").first()
+    row = first_violation(concepts, records, order, files).orderBy("record_id").first()
     if row:
         raise RecordError(f"record {row['record_id']}, concept {row['ord']}: {row['rule']}")
 
@@ -89,10 +112,11 @@ def missing_and_extra(expected: DataFrame, actual: DataFrame, key: str = "record
     return e.join(a, key, "left_anti").withColumn("status", F.lit("missing")).unionByName(a.join(e, key, "left_anti").withColumn("status", F.lit("extra")))
 
 
-def output_report(concepts: DataFrame, records: DataFrame, order: str = "ord") -> DataFrame:
-    """(record_id, status): missing and extra records, and the first violation of the others."""
-    gaps = missing_and_extra(records, concepts)
-    return gaps.unionByName(first_violation(concepts, records, order).select("record_id", F.col("rule").alias("status")))
+def output_report(concepts: DataFrame, records: DataFrame, order: str = "ord", files: DataFrame | None = None) -> DataFrame:
+    """(record_id, status): missing and extra records, and the first violation of the others. With ``files``
+    (record_id, value) those say which records there are; a record with an empty list is then no missing one."""
+    gaps = missing_and_extra(records, concepts if files is None else files)
+    return gaps.unionByName(first_violation(concepts, records, order, files).select("record_id", F.col("rule").alias("status")))
 
 
 def budget(models: DataFrame, limit: int = 9_000_000_000) -> DataFrame:

@@ -236,7 +236,16 @@ def medication_extension(spark: SparkSession, d: str) -> DataFrame:
     return c.select("record_id", "id", "start", spans.extend_medication(F.col("raw_text"), first).alias("end"))
 
 
-@query("generic_prefix")
+_PREFIX = "(?i)^(?:" + "|".join(spans.GENERIC_PREFIXES) + ")"
+
+
+@query(
+    "generic_prefix",
+    _cte("ca", "notes").rstrip()
+    + rf""", w as (select ca.record_id, ca.id, greatest(s - 11, 0) as a, raw_text[greatest(s - 11, 0) + 1 : e] as inside from ca join notes using (record_id)),
+    x as (select *, case when regexp_matches(inside, '{_PREFIX}([^\p{{L}}\p{{N}}_]|$)') then regexp_extract(inside, '({_PREFIX}[\s:;,.-]*)', 1) else '' end as head from w)
+    select record_id, id, (a + case when len(regexp_extract_all(inside[len(head) + 1 :], '[0-9A-Za-zÀ-ỹĐđ]+')) >= 2 then len(head) else 0 end)::int as start from x""",
+)
 def generic_prefix(spark: SparkSession, d: str) -> DataFrame:
     """Spans begun behind a generic first phrase."""
     c = concepts(spark, d, "concepts_a").join(notes(spark, d), "record_id")
@@ -283,7 +292,22 @@ def normal_forms(spark: SparkSession, d: str) -> DataFrame:
     return _texts(spark, d).select("text", X.normalize_surface(c).alias("surface"), X.strip_diacritics(c).alias("bare"), X.normalize_term(c).alias("term"))
 
 
-@query("clean_mentions")
+def _clean_sql(text: str, drug: str) -> str:
+    """SQL of ``clean_mention``. The engine has no look-around, so a noise word takes its neighbours along: blanks
+    are doubled, and the replacement runs again for words that shared another sign."""
+    word = r"(^|[^\p{L}\p{N}_])(?:" + "|".join(X.DRUG_NOISE) + r")([^\p{L}\p{N}_]|$)"
+    d = f"regexp_replace({text}, '{X.WS}+', '  ', 'g')"
+    for _ in range(3):
+        d = f"regexp_replace({d}, '{word}', '\\1 \\2', 'gi')"
+    d = f"regexp_replace({d}, '(\\d),(\\d)', '\\1.\\2', 'g')"
+    d = f"regexp_replace({d}, '\\s*({'|'.join(X.UNITS)})([^\\p{{L}}\\p{{N}}_]|$)', ' \\1\\2', 'gi')"
+    return f"trim(regexp_replace(case when {drug} then {d} else {text} end, '{X.WS}+', ' ', 'g'))"
+
+
+_IS_DRUG = "type = 'THUỐC'"
+
+
+@query("clean_mentions", f"select distinct text, type, {_clean_sql('text', _IS_DRUG)} as clean from concepts_a where text is not null")
 def clean_mentions(spark: SparkSession, d: str) -> DataFrame:
     t = read_table(spark, d, "concepts_a").where("text is not null").select("text", "type").distinct()
     return t.select("text", "type", X.clean_mention(F.col("text"), F.col("type") == "THUỐC").alias("clean"))
@@ -352,7 +376,14 @@ def assertion_cues(spark: SparkSession, d: str) -> DataFrame:
     return c.select("record_id", "id", F.array_join(marks, ",").alias("marks"))
 
 
-@query("assertion_sections")
+@query(
+    "assertion_sections",
+    _cte("ca", "notes").rstrip()
+    + f""", w as (select ca.record_id, ca.id, ca.type, {_window_sql(40)} as w40, {_window_sql(60)} as w60, string_split(lower(raw_text[greatest(s - 400, 0) + 1 : s]), chr(10)) as ls from ca join notes using (record_id)),
+    x as (select *, len(list_filter(ls[greatest(len(ls) - 3, 1) : len(ls)], lambda l: {" or ".join(f"contains(l, '{h}')" for h in X.HISTORY_SECTIONS)})) > 0 as under from w)
+    select record_id, id, case when type not in ('TRIỆU_CHỨNG', 'CHẨN_ĐOÁN', 'THUỐC') then '' else array_to_string(list_filter([case when {_cue_sql('w40', X.NEGATION_CUES)} then 'isNegated' end,
+      case when under or {_cue_sql('w60', X.HISTORY_CUES)} then 'isHistorical' end], lambda z: z is not null), ',') end as marks from x""",
+)
 def assertion_sections(spark: SparkSession, d: str) -> DataFrame:
     """With the section headings above a mention as a further cue of history."""
     c = concepts(spark, d, "concepts_a").join(notes(spark, d), "record_id")
@@ -366,7 +397,13 @@ def context_windows(spark: SparkSession, d: str) -> DataFrame:
     return c.select("record_id", "id", F.md5(X.context_slice(F.col("raw_text"), F.col("start"), F.col("end"))).alias("context"))
 
 
-@query("line_context")
+@query(
+    "line_context",
+    _cte("ca", "notes").rstrip()
+    + f""", w as (select ca.record_id, ca.id, string_split(raw_text[1 : s], chr(10)) as above, raw_text[s + 1 : e] as mention, string_split(raw_text[e + 1 :], chr(10))[1] as behind from ca join notes using (record_id)),
+    x as (select *, (above[-1] || mention || behind)[1 : 300] as line, list_filter(above[1 : len(above) - 1], lambda l: regexp_replace(l, '{X.WS}+', '', 'g') != '') as earlier from w)
+    select record_id, id, case when len(earlier) = 0 then line else '[mục: ' || regexp_replace(regexp_replace(earlier[-1], '^{X.WS}+', ''), '{X.WS}+$', '')[1 : 80] || '] ' || line end as context from x""",
+)
 def line_context(spark: SparkSession, d: str) -> DataFrame:
     c = concepts(spark, d, "concepts_a").join(notes(spark, d), "record_id")
     return c.select("record_id", "id", X.line_context(F.col("raw_text"), F.col("start"), F.col("end")).alias("context"))
@@ -454,9 +491,10 @@ def order_preservation(spark: SparkSession, d: str) -> DataFrame:
     return scoring.order_preservation(a.join(b, "name"))
 
 
-@query("run_report")
+@query("run_report", _cte("ca").rstrip() + ", per as (select record_id, count(*) as n from ca group by 1) select count(*) as records, sum(n)::bigint as concepts, min(n) as least, max(n) as most from per")
 def run_report(spark: SparkSession, d: str) -> DataFrame:
-    return spark.createDataFrame([sinks.run_report(concepts(spark, d, "concepts_a"))], "records long, concepts long, least long, most long, checksum string")
+    """The totals of a run; the checksum, which depends on the hash function, isn't shown."""
+    return sinks.run_report(concepts(spark, d, "concepts_a")).drop("checksum")
 
 
 # --- dictionaries ---------------------------------------------------------------------------------
@@ -471,9 +509,18 @@ def alias_index(spark: SparkSession, d: str) -> DataFrame:
     return terminology.alias_index(read_table(spark, d, "terminology"), ("system",)).select("kind", "key", "system", F.array_join("codes", "|").alias("codes"))
 
 
-@query("ambiguous_aliases", f"with {_INDEX} select kind, key, system, count(distinct code) as n from i group by kind, key, system having count(distinct code) > 1")
+_CODED = "c as (select candidates[1] as code, concept_id as ord, text as name, type from concepts_a where len(candidates) > 0 and text is not null and trim(text) != '')"
+
+
+@query(
+    "ambiguous_aliases",
+    f"with {_CODED}, k as (select code, type as system, {_SURFACE.replace('text', 'name')} as key from c), i as (select 'exact' as kind, key, system, code from k where key != '' union all "
+    "select 'plain', replace(strip_accents(key), 'đ', 'd'), system, code from k where key != '') select kind, key, system, count(distinct code) as n from i group by kind, key, system having count(distinct code) > 1",
+)
 def ambiguous_aliases(spark: SparkSession, d: str) -> DataFrame:
-    i = terminology.alias_index(read_table(spark, d, "terminology"), ("system",))
+    """Names that bear several codes, in the dictionary that the coded mentions make."""
+    terms = _coded(spark, d).select("code", F.col("name").alias("label"), F.array().cast("array<string>").alias("aliases"), F.col("type").alias("system"))
+    i = terminology.alias_index(terms, ("system",))
     return i.where(F.size("codes") > 1).select("kind", "key", "system", F.size("codes").cast("long").alias("n"))
 
 
@@ -496,16 +543,13 @@ def exact_link(spark: SparkSession, d: str) -> DataFrame:
     return out.select("text", "system", F.size("found").alias("n_found"), F.coalesce(F.get("codes", F.lit(0)), F.lit("")).alias("code"))
 
 
-@query("drug_link")
+@query("drug_link", ORACLE["exact_link"].replace(f"{_SURFACE} as key from concepts_a", f"{_SURFACE.replace('text', _clean_sql('text', _IS_DRUG))} as key from concepts_a"))
 def drug_link(spark: SparkSession, d: str) -> DataFrame:
     """The same with route and frequency words of drugs left out."""
     out = terminology.exact_link(_mentions(spark, d), read_table(spark, d, "terminology"), drug=F.col("system") == "rxnorm", extra=("system",))
     return out.select("text", "system", F.size("found").alias("n_found"), F.coalesce(F.get("codes", F.lit(0)), F.lit("")).alias("code"))
 
 
-_CODED = "c as (select candidates[1] as code, concept_id as ord, text as name, type from concepts_a where len(candidates) > 0 and text is not null and trim(text) != '')"
-
-
 def _coded(spark: SparkSession, d: str) -> DataFrame:
     c = read_table(spark, d, "concepts_a").where("size(candidates) > 0 and text is not null and trim(text) != ''")
     return c.select(F.get("candidates", F.lit(0)).alias("code"), F.col("concept_id").alias("ord"), F.col("text").alias("name"), "type")
@@ -699,31 +743,57 @@ def code_sanitize(spark: SparkSession, d: str) -> DataFrame:
 _LAST = "lag(struct_pack(a := s, b := e)) over (partition by record_id order by ord)"
 
 
-@query(
-    "validate_records",
-    _cte("cb", "notes").rstrip()
-    + f""", c as (select cb.*, raw_text, struct_pack(a := s, b := e) < {_LAST} as un, row_number() over (partition by record_id, s, e, type order by ord) > 1 as rep from cb left join notes using (record_id)),
-    m as (select *, coalesce(assertions, []) as ma, coalesce(candidates, []) as mc, type in ('CHẨN_ĐOÁN', 'THUỐC') as cod from c), v as (
-    select record_id, ord, 'type' as rule from m where type not in ('TRIỆU_CHỨNG', 'TÊN_XÉT_NGHIỆM', 'KẾT_QUẢ_XÉT_NGHIỆM', 'CHẨN_ĐOÁN', 'THUỐC')
+_RULE_NO = "case rule " + " ".join(f"when '{r}' then {i}" for i, r in enumerate(validation.RULES)) + " end"
+#: The rules over the current row of every concept, with whatever NULLs it has.
+_BROKEN = f"""with notes as (select record_id, raw_text from (select *, row_number() over (partition by record_id order by received_at desc) as k from input_notes where raw_text is not null) where k = 1),
+    r as (select record_id, concept_id as ord, text, type, candidates, assertions, position, position[1] as s, position[2] as e, coalesce(len(position) = 2, false) and position[1] is not null and position[2] is not null as ok
+      from (select *, row_number() over (partition by concept_id order by loaded_at desc) as k from concepts_b where concept_id is not null) where k = 1),
+    l as (select *, lag(case when ok then struct_pack(a := s, b := e) end) over (partition by record_id order by ord) as before from r),
+    c as (select l.*, raw_text, coalesce(ok and before is not null and struct_pack(a := s, b := e) < before, false) as un, row_number() over (partition by l.record_id, s, e, type order by ord) > 1 as rep from l left join notes using (record_id)),
+    m as (select *, coalesce(assertions, []) as ma, coalesce(candidates, []) as mc, coalesce(type in ('CHẨN_ĐOÁN', 'THUỐC'), false) as cod from c), v as (
+    select record_id, ord, 'type' as rule from m where not coalesce(type in ('TRIỆU_CHỨNG', 'TÊN_XÉT_NGHIỆM', 'KẾT_QUẢ_XÉT_NGHIỆM', 'CHẨN_ĐOÁN', 'THUỐC'), false)
     union all select record_id, ord, 'candidates_presence' from m where cod != (candidates is not null)
-    union all select record_id, ord, 'position' from m where len(position) != 2
-    union all select record_id, ord, 'bounds' from m where len(position) = 2 and not coalesce(s >= 0 and s < e and e <= len(raw_text), false)
-    union all select record_id, ord, 'text' from m where len(position) = 2 and e <= len(raw_text) and not coalesce(raw_text[s + 1 : e] = text, false)
-    union all select record_id, ord, 'assertion_value' from m where len(list_filter(ma, lambda x: x not in ('isNegated', 'isFamily', 'isHistorical'))) > 0
-    union all select record_id, ord, 'assertion_type' from m where len(ma) > 0 and type not in ('TRIỆU_CHỨNG', 'CHẨN_ĐOÁN', 'THUỐC')
+    union all select record_id, ord, 'position' from m where not ok
+    union all select record_id, ord, 'bounds' from m where ok and not coalesce(s >= 0 and s < e and e <= len(raw_text), false)
+    union all select record_id, ord, 'text' from m where ok and coalesce(e <= len(raw_text), false) and not coalesce(raw_text[s + 1 : e] = text, false)
+    union all select record_id, ord, 'assertion_value' from m where len(list_filter(ma, lambda x: x is null or x not in ('isNegated', 'isFamily', 'isHistorical'))) > 0
+    union all select record_id, ord, 'assertion_type' from m where len(ma) > 0 and not coalesce(type in ('TRIỆU_CHỨNG', 'CHẨN_ĐOÁN', 'THUỐC'), false)
     union all select record_id, ord, 'assertion_repeat' from m where len(list_distinct(ma)) < len(ma)
     union all select record_id, ord, 'candidate_form' from m where cod and len(list_filter(mc, lambda x: not regexp_full_match(x, case when type = 'CHẨN_ĐOÁN' then '{_ICD}' else '{_DRUG}' end))) > 0
     union all select record_id, ord, 'candidate_repeat' from m where len(list_distinct(mc)) < len(mc)
     union all select record_id, ord, 'sorted' from m where un
-    union all select record_id, ord, 'unique' from m where len(position) = 2 and rep) select record_id, ord, rule from v""",
-)
+    union all select record_id, ord, 'unique' from m where ok and rep) """
+
+
+def _raw(spark: SparkSession, d: str) -> DataFrame:
+    """The current row of every concept of the second system, with whatever NULLs it has."""
+    c = read_table(spark, d, "concepts_b").where("concept_id is not null")
+    row = F.struct("loaded_at", F.xxhash64("text", "type", "position", "candidates", "assertions").alias("h"), "record_id", "text", "type", "candidates", "assertions", "position")
+    return c.groupBy("concept_id").agg(F.max(row).alias("r")).select(F.col("concept_id").alias("ord"), "r.*")
+
+
+@query("validate_records", _BROKEN + "select record_id, ord, rule from v")
 def validate_records(spark: SparkSession, d: str) -> DataFrame:
-    return validation.violations(concepts(spark, d, "concepts_b"), notes(spark, d)).select("record_id", "ord", "rule")
+    return validation.violations(_raw(spark, d), notes(spark, d)).select("record_id", "ord", "rule")
 
 
-@query("first_violations")
+@query("first_violations", _BROKEN + f"select record_id, min_by(ord, ord * 100 + {_RULE_NO}) as ord, min_by(rule, ord * 100 + {_RULE_NO}) as rule from v group by record_id")
 def first_violations(spark: SparkSession, d: str) -> DataFrame:
-    return validation.first_violation(concepts(spark, d, "concepts_b"), notes(spark, d))
+    return validation.first_violation(_raw(spark, d), notes(spark, d))
+
+
+_BROKEN_FILES = "case concept_id % 5 when 0 then 'this is no list' when 1 then '{\"a\": 1}' when 2 then '[1, {\"text\": \"x\"}]' when 3 then '[]' else '[{\"text\": null, \"type\": \"T\", \"assertions\": [], \"position\": [0, 1]}]' end"
+
+
+@query(
+    "file_violations",
+    "select distinct concept_id::varchar as record_id, r.ord::bigint as ord, r.rule as rule from (select concept_id, unnest(case concept_id % 5 when 0 then [{'ord': -1, 'rule': 'list'}] when 1 then [{'ord': -1, 'rule': 'list'}] "
+    "when 2 then [{'ord': 0, 'rule': 'object'}, {'ord': 1, 'rule': 'keys'}] else [] end) as r from concepts_a where concept_id is not null)",
+)
+def file_violations(spark: SparkSession, d: str) -> DataFrame:
+    """Concept files that are no lists, hold no objects, or objects without the needed keys."""
+    made = read_table(spark, d, "concepts_a").where("concept_id is not null").select(F.col("concept_id").cast("string").alias("record_id"), F.expr(_BROKEN_FILES).alias("value")).distinct()
+    return validation.file_violations(made).select("record_id", "ord", "rule")
 
 
 @query(
@@ -788,11 +858,19 @@ def restrict_codes(spark: SparkSession, d: str) -> DataFrame:
     return payload.restrict_codes(m, hits, entities=e).select("record_id", "entity_index", F.array_join("candidates", "|").alias("codes"))
 
 
-@query("concept_files")
+@query(
+    "concept_files",
+    _cte("ca", "notes").rstrip()
+    + """, p as (select record_id, string_agg(s || '-' || e || ' ' || type || ' ' || coalesce(text, '') || ' ' || case when type in ('CHẨN_ĐOÁN', 'THUỐC') then array_to_string(coalesce(candidates, []), '|') else 'none' end
+      || ' ' || array_to_string(coalesce(assertions, []), '|'), chr(10) order by s, e, type, text nulls first, candidates nulls first, assertions) as x, count(*)::int as n from ca group by record_id)
+    select notes.record_id, md5(coalesce(x, '')) as md5, coalesce(n, 0) as n from notes left join p using (record_id)""",
+)
 def concept_files(spark: SparkSession, d: str) -> DataFrame:
-    """The output list of every record, as it is written and packaged."""
+    """The output list of every record, as it is written and packaged, read back."""
     out = sinks.concept_lists(concepts(spark, d, "concepts_a"), notes(spark, d))
-    return out.select("record_id", F.md5("json").alias("md5"), F.length("json").alias("n_chars"))
+    back = F.from_json("json", "array<struct<text:string,type:string,candidates:array<string>,assertions:array<string>,position:array<int>>>")
+    row = lambda c: F.concat_ws(" ", F.concat_ws("-", c["position"][0], c["position"][1]), c["type"], F.coalesce(c["text"], F.lit("")), F.coalesce(F.array_join(c["candidates"], "|"), F.lit("none")), F.array_join(c["assertions"], "|"))
+    return out.select("record_id", F.md5(F.array_join(F.transform(back, row), "\n")).alias("md5"), F.size(back).alias("n"))
 
 
 # --- selection ------------------------------------------------------------------------------------

@@ -63,10 +63,15 @@ def read_records(spark: SparkSession, folder: str, ids: list[str] | None = None)
     return df
 
 
+def read_concept_files(spark: SparkSession, folder: str) -> DataFrame:
+    """(record_id, value): the ``<digits>.json`` files of a folder as they are."""
+    return spark.read.text(folder, wholetext=True, pathGlobFilter="*.json").select(_stem("json").alias("record_id"), "value").where("record_id != ''")
+
+
 def read_concepts(spark: SparkSession, folder: str) -> DataFrame:
     """(record_id, ord, text, type, candidates, assertions, position) of ``<digits>.json`` lists; a key that
-    is absent is NULL. A file that isn't a list of concepts gives no rows."""
-    raw = spark.read.text(folder, wholetext=True, pathGlobFilter="*.json").select(_stem("json").alias("record_id"), "value").where("record_id != ''")
+    is absent is NULL. A file that isn't a list of concepts gives no rows; ``validation.file_violations`` tells."""
+    raw = read_concept_files(spark, folder)
     return raw.select("record_id", F.posexplode(F.from_json("value", T.ArrayType(CONCEPT))).alias("ord", "c")).select("record_id", "ord", "c.*")
 
 
@@ -93,8 +98,9 @@ def read_terms_jsonl(spark: SparkSession, path: str) -> DataFrame:
     """(code, label, aliases, ord) of JSON lines; aliases are a list or joined by ``|``. Blank lines and
     rows without code or label are passed over; a line that isn't JSON raises ValueError."""
     lines = spark.read.text(path).where(F.trim("value") != "")
-    if not lines.where(F.try_parse_json("value").isNull()).isEmpty():
-        raise ValueError(f"{path}: a line is not JSON")
+    bad = lines.where(F.try_parse_json("value").isNull()).select("value").first()
+    if bad:
+        raise ValueError(f"{path}: not JSON: {bad[0][:80]}")
     rows = _with_line_order(lines).select("ord", *[F.get_json_object("value", f"$.{c}").alias(c) for c in ("code", "label", "aliases")])
     return rows.where("trim(code) != '' and trim(label) != ''").select(F.trim("code").alias("code"), F.trim("label").alias("label"), _aliases(F.col("aliases")).alias("aliases"), "ord")
 

@@ -6,7 +6,7 @@ import json
 import os
 import zipfile
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanloom.operators.alignment import CODED
@@ -83,7 +83,7 @@ def provenance(records: DataFrame, signature: str, model: str) -> DataFrame:
     return records.select("record_id", F.lit(signature).alias("run_signature"), F.lit(model).alias("model"))
 
 
-def run_report(concepts: DataFrame) -> Row:
-    """Records, concepts, least and most concepts of a record, and a checksum of the rows."""
+def run_report(concepts: DataFrame) -> DataFrame:
+    """One row: records, concepts, least and most concepts of a record, and a checksum of the rows."""
     per = concepts.groupBy("record_id").agg(F.count("*").alias("n"), F.sum(F.xxhash64("text", "type", "start", "end").cast("decimal(38,0)")).alias("h"))
-    return per.agg(F.count("*").alias("records"), F.sum("n").alias("concepts"), F.min("n").alias("least"), F.max("n").alias("most"), F.sha2(F.sum("h").cast("string"), 256).alias("checksum")).first()
+    return per.agg(F.count("*").alias("records"), F.sum("n").alias("concepts"), F.min("n").alias("least"), F.max("n").alias("most"), F.sha2(F.sum("h").cast("string"), 256).alias("checksum"))
