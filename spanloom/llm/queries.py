@@ -10,7 +10,7 @@ from spanloom.llm.leakage import find_leaks
 from spanloom.llm.lookalike import learn, to_consistent
 from spanloom.llm.mapping import map_values
 from spanloom.llm.packing import pack_texts, packing_faults, packing_report
-from spanloom.llm.pii import pii_spans, redacted
+from spanloom.llm.pii import fit_names, pii_spans, redacted
 from spanloom.llm.sentences import sentence_units
 from spanloom.llm.splitting import split_oversized
 from spanloom.functions.text import WS
@@ -44,6 +44,16 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return pii_spans(read_table(spark, d, "input_notes"), "record_id", "raw_text").distinct()
 
 
+@query("p1_rest", "select distinct record_id, len(raw_text) as n_chars from input_notes where raw_text is not null")
+def p1_rest(spark: SparkSession, d: str) -> DataFrame:
+    """The length of every note, from its redacted form and the spans: nothing else is touched."""
+    notes = read_table(spark, d, "input_notes").where("raw_text is not null").select("record_id", "raw_text").distinct()
+    parts = fit_names(notes, "raw_text")
+    spans = pii_spans(notes, "record_id", "raw_text", parts).groupBy("record_id").agg(F.sum(F.col("end_pos") - F.col("start_pos") - F.length("kind") - 2).alias("more"))
+    left = redacted(notes, "record_id", "raw_text", parts).join(spans, "record_id", "left")
+    return left.select("record_id", (F.length("text") + F.coalesce("more", F.lit(0))).alias("n_chars"))
+
+
 # --- problem 3: one consistent form --------------------------------------------------------------
 
 
@@ -128,6 +138,14 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return pieces.groupBy("record_id").agg((F.max("longest_run") > 2000).cast("int").alias("forced"))
 
 
+@query("p5_rejoined", "select distinct record_id, md5(raw_text) as md5 from input_notes where len(raw_text) > 2000")
+def p5_rejoined(spark: SparkSession, d: str) -> DataFrame:
+    """Oversized notes put together again from their pieces."""
+    piece = F.struct("piece_no", F.when(F.col("piece_no") == 0, F.col("piece")).otherwise(F.substring("piece", F.lit(201), F.length("piece"))).alias("new"))
+    whole = p5_pieces(spark, d).groupBy("record_id").agg(F.array_sort(F.collect_list(piece)).alias("p"))
+    return whole.select("record_id", F.md5(F.array_join(F.transform("p", lambda x: x["new"]), "")).alias("md5"))
+
+
 # --- problem 6: consensus ------------------------------------------------------------------------
 
 
@@ -162,6 +180,18 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return items.select("item_id", rows.alias("r")).select("item_id", "r.field", "r.value")
 
 
+@query(
+    "p6_covered",
+    "with r as (select *, row_number() over (partition by item_id, annotator_id order by labelled_at desc) as k from terra_labels where type is not null or assertions is not null or position is not null) "
+    "select item_id, count(type) > 0 as has_type, count(assertions) > 0 as has_assertions, count(position) > 0 as has_position, count(*) as n_labels from r where k = 1 group by item_id",
+)
+def p6_covered(spark: SparkSession, d: str) -> DataFrame:
+    """Which fields of every item have a consensus, and from how many labels."""
+    items = p6_items(spark, d)
+    has = {"has_type": "type", "has_assertions": "assertions", "has_position": "start_pos"}
+    return items.select("item_id", *[F.col(c).isNotNull().alias(n) for n, c in has.items()], F.col("n_labels").cast("long").alias("n_labels"))
+
+
 # --- problem 7: packing --------------------------------------------------------------------------
 
 
@@ -228,3 +258,12 @@ def p9_units(spark: SparkSession, d: str) -> DataFrame:
 @query("p9_found")
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return sentence_units(read_table(spark, d, "documents"), "doc_id", "text").select("doc_id", "start_pos", "end_pos").distinct()
+
+
+@query("p9_covered", f"select doc_id, md5(regexp_replace(text, '{WS}+', '', 'g')) as md5 from documents where regexp_replace(text, '{WS}+', '', 'g') != ''")
+def p9_covered(spark: SparkSession, d: str) -> DataFrame:
+    """Documents without white space, put together from their units: all else belongs to exactly one."""
+    texts = read_table(spark, d, "documents").where("text is not null").select("doc_id", "text")
+    units = p9_units(spark, d).groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("unit_no", "start_pos", "end_pos"))).alias("u"))
+    parts = F.transform("u", lambda x: F.substring(F.col("text"), x["start_pos"] + 1, x["end_pos"] - x["start_pos"]))
+    return texts.join(units, "doc_id").select("doc_id", F.md5(F.regexp_replace(F.array_join(parts, ""), f"{WS}+", "")).alias("md5"))
