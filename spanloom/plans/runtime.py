@@ -44,8 +44,9 @@ def written(df: DataFrame) -> DataFrame:
 
 def discard(df: DataFrame) -> None:
     """Remove the tables of ``written`` that ``df`` reads; nothing may be computed from it any more."""
+    read = df.inputFiles()
     for path in list(_WRITTEN):
-        if any(f.startswith(path) or path in f for f in df.inputFiles()):
+        if any(path.rpartition("/")[2] in f for f in read):
             _remove(path)
 
 

@@ -2,6 +2,7 @@
 
 import json
 import math
+import os
 import random
 
 import pytest
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from spanloom.functions import text as X
 from spanloom.operators import alignment, payload, scoring, selection, spans, terminology, validation
 from spanloom.operators.copydiff import diff_copies, diff_values
-from spanloom.plans import pipeline
+from spanloom.plans import pipeline, runtime
 from spanloom.sources import files, sinks
 from spanloom.streaming import incremental
 
@@ -387,6 +388,37 @@ def test_sanitize(spark):
     assert one(spark, None, f(D), "array<string>") is None and one(spark, [], f(D), "array<string>") == []
 
 
+def test_file_violations(spark):
+    ok = {"text": None, "type": "T", "assertions": [], "position": [0, 1]}
+    rows = [("1", "this is not json"), ("2", '{"text": "x"}'), ("3", json.dumps([ok, 5, {k: v for k, v in ok.items() if k != "assertions"}])), ("4", "[]"), ("5", json.dumps([ok])), ("6", None), ("7", "[1, 2")]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "record_id string, value string, ord string")
+    got = {(r["record_id"], r["ord"], r["rule"]) for r in validation.file_violations(df).collect()}
+    assert got == {("1", -1, "list"), ("2", -1, "list"), ("3", 1, "object"), ("3", 2, "keys"), ("6", -1, "list"), ("7", -1, "list")}
+    assert validation.file_violations(df.limit(0)).count() == 0
+
+
+def test_planning_computes_nothing(spark):
+    """Dealing rows out anew runs no job, even behind a shuffle."""
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plan", "plan")
+    try:
+        one = runtime.spread(spark.range(100).groupBy((F.col("id") % 7).alias("k")).count())
+        two = runtime.spread(spark.range(100))
+        assert not tracker.getJobIdsForGroup("plan")
+        assert one.count() == 7 and two.count() == 100
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+
+
+def test_written_tables_are_removed(spark):
+    before = set(runtime._WRITTEN)
+    df = runtime.written(spark.range(10))
+    (path,) = set(runtime._WRITTEN) - before
+    assert df.count() == 10
+    runtime.discard(df)
+    assert path not in runtime._WRITTEN and not os.path.exists(path.removeprefix("file:"))
+
+
 def test_violations(spark):
     schema = "record_id string, ord int, text string, type string, candidates array<string>, assertions array<string>, position array<int>"
     rows = [

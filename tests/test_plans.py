@@ -54,6 +54,19 @@ def test_command_line(spark, tmp_path, capsys):
     (out / "9.json").write_text("[]")
     assert cli.main(["validate", "--input", str(notes), "--output", str(out)], spark) == 1
     assert {line.split()[1] for line in capsys.readouterr().out.splitlines()} == {"candidate_form", "extra"}
+    (out / "9.json").unlink()
+    for text, rule in (("no list", "list"), ("[5]", "object"), ('[{"text": "x"}]', "keys")):
+        (out / "1.json").write_text(text)
+        assert cli.main(["validate", "--input", str(notes), "--output", str(out)], spark) == 1
+        assert capsys.readouterr().out.split() == ["1", rule]
+
+
+def test_dictionary_from_a_sheet(spark, tmp_path):
+    (tmp_path / "icd.csv").write_text("x,,,,\nMÃ BỆNH,TÊN BỆNH,MÃ NHÓM,TÊN NHÓM,WHO\na001,Tả・El Tor,A00,Bệnh tả,Tả cổ điển; ngoài\nA009,nan,A00,Bệnh tả,12\n", encoding="utf-8")
+    target = tmp_path / "out"
+    cli.main(["build-terms", "--sheet", str(tmp_path / "icd.csv"), "--category", "MÃ NHÓM,TÊN NHÓM", "--synonyms", "WHO", "--output", str(target)], spark)
+    rows = {r["code"]: (r["label"], r["aliases"]) for r in spark.read.csv(str(target), sep="\t", header=True).collect()}
+    assert rows == {"A00.1": ("Tả El Tor", "Tả cổ điển|ngoài"), "A00": ("Bệnh tả", None)}
 
 
 @pytest.mark.skipif("LABEL_SETS" not in os.environ, reason="LABEL_SETS names no two folders of label files")
