@@ -322,8 +322,9 @@ def vector_topk(queries: DataFrame, vectors: DataFrame, k: int, block_rows: int
     embedding): (qid, id, dot, rank); equal products are ordered by id.
 
     The queries are the stated set. They go to the workers in blocks of at most ``block_rows``; each
-    scan of ``vectors`` keeps the best ``k`` per query and batch, and a window merges those. Rows with
-    NULL or other-length vectors are left out; products that aren't finite too.
+    scan of ``vectors`` keeps the best ``k`` per query and batch, and a window merges those. A query meets the
+    rows whose vectors are as long as its own; rows and queries with NULL vectors are left out; products
+    that aren't finite too.
     """
     import numpy as np
     import pandas as pd
@@ -334,26 +335,27 @@ def vector_topk(queries: DataFrame, vectors: DataFrame, k: int, block_rows: int
     out = None
     for b in range(blocks):
         some = queries if blocks == 1 else queries.where(F.pmod(F.xxhash64("qid"), F.lit(blocks)) == b)
-        rows = [(r["qid"], r["embedding"]) for r in some.where("embedding is not null").collect()]
-        width = max((len(e) for _, e in rows), default=0)
-        rows = [(q, e) for q, e in rows if len(e) == width]
-        ids = [q for q, _ in rows]
-        matrix = np.array([e for _, e in rows], dtype=np.float64).reshape(len(rows), width)
-
-        def run(batches, ids=ids, matrix=matrix, width=width):  # noqa: ANN001, ANN202
+        by_width: dict[int, tuple[list, list]] = {}
+        for r in some.where("embedding is not null").collect():
+            ids, rows = by_width.setdefault(len(r["embedding"]), ([], []))
+            ids.append(r["qid"])
+            rows.append(r["embedding"])
+        asked = {w: (np.array(ids), np.array(rows, dtype=np.float64)) for w, (ids, rows) in by_width.items() if w}
+
+        def run(batches, asked=asked):  # noqa: ANN001, ANN202
             for pdf in batches:
-                pdf = pdf[[e is not None and len(e) == width for e in pdf["embedding"]]]
-                if not len(pdf) or not ids:
-                    continue
-                have = pdf["id"].to_numpy()
-                dots = matrix @ np.stack(pdf["embedding"].to_numpy()).astype(np.float64).T
-                dots[~np.isfinite(dots)] = -np.inf
-                for i, q in enumerate(ids):
-                    d = dots[i]
+                lengths = np.array([-1 if e is None else len(e) for e in pdf["embedding"]])
+                for width, (ids, matrix) in asked.items():
+                    mine = pdf[lengths == width]
+                    if not len(mine):
+                        continue
+                    have = mine["id"].to_numpy()
+                    dots = matrix @ np.stack(mine["embedding"].to_numpy()).astype(np.float64).T
+                    dots[~np.isfinite(dots)] = -np.inf
                     # everything as good as the k-th is kept, so that ties are decided by id alone
-                    least = np.partition(d, -k)[-k] if len(d) > k else -np.inf
-                    at = np.nonzero((d >= least) & np.isfinite(d))[0]
-                    yield pd.DataFrame({"qid": [q] * len(at), "id": have[at], "dot": d[at]})
+                    least = np.partition(dots, -k, axis=1)[:, -k] if dots.shape[1] > k else np.full(len(ids), -np.inf)
+                    q, at = np.nonzero((dots >= least[:, None]) & np.isfinite(dots))
+                    yield pd.DataFrame({"qid": ids[q], "id": have[at], "dot": dots[q, at]})
 
         one = vectors.select("id", "embedding").mapInPandas(run, f"qid {kinds[0]}, id {kinds[1]}, dot double")
         out = one if out is None else out.union(one)

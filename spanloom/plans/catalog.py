@@ -938,6 +938,21 @@ def incremental_pending(spark: SparkSession, d: str) -> DataFrame:
     return incremental.pending(o, done, mine)
 
 
+@query(
+    "dictionary_spans",
+    _cte("notes").rstrip()
+    + f""", {_NAMES}, nm as (select distinct case system when 'icd10' then 'CHẨN_ĐOÁN' else 'THUỐC' end as type, lower(trim(name)) as nm from nn),
+    l as (select record_id, lower(raw_text) as low from notes), p as (select record_id, low, type, nm, string_split(low, nm) as parts from l join nm on contains(low, nm)),
+    q as (select record_id, low, type, len(nm) as n, unnest(list_transform(range(1, len(parts)), lambda i: list_sum(list_transform(parts[1 : i], lambda x: len(x)))::bigint + (i - 1) * len(nm))) as s from p)
+    select distinct record_id, s::int as start, (s + n)::int as end, type from q
+    where not (s > 0 and regexp_matches(low[s : s], '[\\p{{L}}\\p{{N}}_]')) and not regexp_matches(low[s + n + 1 : s + n + 1], '[\\p{{L}}\\p{{N}}_]')""",
+)
+def dictionary_spans(spark: SparkSession, d: str) -> DataFrame:
+    """Every place of a dictionary's name in the notes."""
+    found = pipeline.by_dictionary(read_table(spark, d, "terminology"), {"icd10": "CHẨN_ĐOÁN", "rxnorm": "THUỐC"})(notes(spark, d))
+    return found.select("record_id", "start", "end", "type")
+
+
 @query("predict_dictionary")
 def predict_dictionary(spark: SparkSession, d: str) -> DataFrame:
     """Notes to concepts with the dictionary as proposer."""

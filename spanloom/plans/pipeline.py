@@ -14,10 +14,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanloom.functions.text import detect_assertions
-from spanloom.operators.alignment import ASSERTABLE, align_mentions, occurrences, quoted
+from spanloom.operators.alignment import ASSERTABLE, align_mentions
 from spanloom.operators.selection import select
 from spanloom.operators.spans import extend_medication, gate, is_header, suppress_overlaps, trim_edges, trim_generic_prefix
 from spanloom.operators.terminology import exact_link, names_of
+from spanloom.plans.runtime import spread
 
 SPAN = "record_id string, start int, end int, type string, score double, ord long"
 Proposer = Callable[[DataFrame], DataFrame]
@@ -28,12 +29,43 @@ def replay(spans: DataFrame) -> Proposer:
     return lambda records: spans.join(records.select("record_id").distinct(), "record_id", "left_semi")
 
 
-def by_dictionary(terms: DataFrame, kinds: dict[str, str], score: float = 1.0) -> Proposer:
+def _finder(names: list[tuple[str, str]]) -> Callable[[str], set[tuple[int, int, str]]]:
+    """A function from a text to the places (start, end, type) of the names (name, type), in any letter case,
+    that no letter, digit or underscore goes on."""
+    import ahocorasick
+
+    kinds: dict[str, set[str]] = {}
+    for name, kind in names:
+        kinds.setdefault(_small(name), set()).add(kind)
+    automaton = ahocorasick.Automaton()
+    for name, some in kinds.items():
+        automaton.add_word(name, (len(name), sorted(some)))
+    automaton.make_automaton()
+    part = lambda c: c.isalnum() or c == "_"
+
+    def find(text: str) -> set[tuple[int, int, str]]:
+        low, out = _small(text), set()
+        for last, (n, some) in automaton.iter(low) if kinds else ():
+            start, end = last - n + 1, last + 1
+            if not (start and part(low[start - 1])) and not (end < len(low) and part(low[end])):
+                out.update((start, end, kind) for kind in some)
+        return out
+
+    return find
+
+
+def _small(text: str) -> str:
+    """Lower case, sign by sign, so that places stay."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join([c.lower() if len(c.lower()) == 1 else c for c in text])
+
+
+def by_dictionary(terms: DataFrame, kinds: dict[str, str], score: float = 1.0, block: int = 100_000) -> Proposer:
     """A proposer that finds the names of a dictionary (code, system, label, aliases) verbatim, in any
     letter case; ``kinds`` gives the type for each system.
 
-    Names are looked for only in records that hold all their words: an equi-join on the name's
-    rarest (longest) word, not a product of names and records.
+    One automaton of all names passes over each text once, in Arrow batches; texts aren't shuffled. A
+    dictionary of more than ``block`` names is sent in blocks, with a pass for each.
     """
 
     def propose(records: DataFrame) -> DataFrame:
@@ -41,17 +73,23 @@ def by_dictionary(terms: DataFrame, kinds: dict[str, str], score: float = 1.0) -
         for system, t in kinds.items():
             kind = F.when(F.col("system") == system, F.lit(t)).otherwise(kind)
         names = names_of(terms, ("system",)).select(kind.alias("type"), F.trim("name").alias("name")).where("type is not null").distinct()
-        words = lambda c: F.filter(F.split(F.lower(c), r"[^\p{L}\p{M}\p{N}]+"), lambda w: w != "")
-        longest = F.element_at(F.array_sort(F.transform(words(F.col("name")), lambda w: F.struct(F.length(w).alias("n"), w.alias("w")))), -1)["w"]
-        keyed = names.withColumn("w", longest).where("w is not null")
-        held = records.select("record_id", F.explode(F.array_distinct(words(F.col("raw_text")))).alias("w"))
-        low = records.select("record_id", "raw_text", F.lower("raw_text").alias("low"))
-        pairs = held.join(keyed, "w").select("record_id", "type", "name").join(low, "record_id").where(F.col("low").contains(F.lower("name")))
-        edge = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"
-        pattern = F.concat(F.lit("(?iu)" + edge[0]), quoted(F.col("name")), F.lit(edge[1]))
-        at = pairs.select("record_id", "type", F.explode(occurrences(F.col("raw_text"), pattern)).alias("o"))
-        out = at.select("record_id", "o.start", "o.end", "type", F.lit(score).alias("score")).distinct()
-        return out.withColumn("ord", F.xxhash64("start", "end", "type"))
+        blocks = max(1, -(-names.count() // block))
+        out = None
+        for b in range(blocks):
+            some = names if blocks == 1 else names.where(F.pmod(F.xxhash64("name"), F.lit(blocks)) == b)
+            listed = sorted((r["name"], r["type"]) for r in some.collect())
+
+            def run(batches: Iterator[pd.DataFrame], listed: list = listed) -> Iterator[pd.DataFrame]:
+                find = _finder(listed)
+                for pdf in batches:
+                    rows = [(r, *at) for r, text in zip(pdf["record_id"], pdf["raw_text"], strict=True) if text for at in find(text)]
+                    yield pd.DataFrame(rows, columns=["record_id", "start", "end", "type"])
+
+            one = spread(records.select("record_id", "raw_text")).mapInPandas(run, "record_id string, start int, end int, type string")
+            out = one if out is None else out.unionByName(one)
+        if blocks > 1:
+            out = out.distinct()
+        return out.select("record_id", "start", "end", "type", F.lit(score).alias("score"), F.xxhash64("start", "end", "type").alias("ord"))
 
     return propose
 

@@ -388,6 +388,13 @@ def test_sanitize(spark):
     assert one(spark, None, f(D), "array<string>") is None and one(spark, [], f(D), "array<string>") == []
 
 
+def test_queries_of_several_widths(spark):
+    v = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, [1.0, 1.0, 1.0]), (4, None)], "id long, embedding array<double>")
+    q = spark.createDataFrame([(7, [1.0, 0.5]), (8, [1.0, 0.0, 0.0]), (9, None), (10, [1.0])], "qid long, embedding array<double>")
+    for block in (2_000, 1):
+        assert {(r["qid"], r["id"], r["rank"]) for r in terminology.vector_topk(q, v, 2, block).collect()} == {(7, 1, 1), (7, 2, 2), (8, 3, 1)}
+
+
 def test_file_violations(spark):
     ok = {"text": None, "type": "T", "assertions": [], "position": [0, 1]}
     rows = [("1", "this is not json"), ("2", '{"text": "x"}'), ("3", json.dumps([ok, 5, {k: v for k, v in ok.items() if k != "assertions"}])), ("4", "[]"), ("5", json.dumps([ok])), ("6", None), ("7", "[1, 2")]
