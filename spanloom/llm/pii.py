@@ -8,7 +8,9 @@ detectors finds identifiers on the last tape, and their spans are mapped back th
 the source.
 
 Names are found by the titles and phrases around them, and, without any of these, by a model of name
-parts: how much oftener a word in capitals stood in a name found by its title than elsewhere.
+parts: how much oftener a word in capitals stood in a name found by its title than elsewhere, over all
+texts. One pass reads the texts, finds all that needs no model and writes it with the runs of capitals
+that may be names; the model, counted from what was written, then decides about those runs.
 """
 
 from __future__ import annotations
@@ -21,11 +23,13 @@ import unicodedata
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+import numpy as np
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanloom.llm.common import INVISIBLE, bare_text, char_class, map_rows
 from spanloom.llm.lookalike import rewriting
+from spanloom.plans.runtime import written
 
 KINDS = ("EMAIL", "PHONE", "ID", "ADDRESS", "NAME")
 
@@ -33,8 +37,6 @@ KINDS = ("EMAIL", "PHONE", "ID", "ADDRESS", "NAME")
 CAPTION, NUMBER_CAPTION = 40, 60
 #: Least score of a name that nothing but its words tells, and what a word adds that was in no name.
 NAME_SCORE, UNKNOWN_PART = 2.0, -0.5
-#: Texts from which the parts of names are learnt, at most about so many.
-NAME_ROWS = 2_000
 
 # The words that detectors go by, in composed accented lower case.
 _DIGIT_WORDS = {
@@ -421,53 +423,135 @@ class NameParts:
 
     def find(self, text: str, taken: list[tuple[int, int, str]]) -> Iterator[tuple[int, int]]:
         """Runs of two to five words in capitals that score as a name."""
-        for m in _CAPITALS.finditer(text):
-            words = m.group().split(" ")
-            low = [w.lower() for w in words]
-            # a sentence may begin just before the name
-            k = next((i for i, w in enumerate(low[:-1]) if w in self.first), None)
-            if k is None:
-                continue
-            start = m.start() + sum(len(w) + 1 for w in words[:k])
-            if any(start < e and s < m.end() for s, e, _ in taken) or _OTHER_NAME.search(text[max(0, start - CAPTION) : start]):
-                continue
-            score = [self.first[low[k]], *(self.later.get(w, UNKNOWN_PART) for w in low[k + 1 :])]
-            while len(score) > 1 and score[-1] < 0:
-                score.pop()  # what follows a name in capitals isn't part of it
-            if len(score) > 1 and sum(score) >= NAME_SCORE:
-                yield start, start + len(" ".join(words[k : k + len(score)]))
-
-
-def fit_names(df: DataFrame, text_col: str, rows: int = NAME_ROWS) -> NameParts:
-    """The model of name parts, from a sample of about ``rows`` texts at most: names found by title or
-    phrase against all other words in capitals. A few thousand distinct words come to the driver."""
-    c = F.col(f"`{text_col}`")
-    texts = df.where(c.isNotNull()).select(c.alias("c"))
-    share = max(1, texts.count() // rows)
-    if share > 1:
-        texts = texts.where(F.pmod(F.xxhash64("c"), F.lit(share)) == 0)
-
-    def words(text) -> Iterator[tuple]:  # noqa: ANN001
-        if not text:
-            return
-        tape = tapes(text).text
-        names = [(a, b) for a, b, kind in _detect(tape) if kind == "NAME"]
-        inside = bytearray(len(tape))
-        for a, b in names:
+        for start, end, free in _runs(text, taken):
+            name = self.name(text[max(0, start - CAPTION) : start], text[start:end], free - start)
+            if name:
+                words = _words_at(start, text[start:end])
+                yield words[name[0]][0], words[name[1] - 1][1]
+
+    def name(self, before: str, run: str, free: int) -> tuple[int, int] | None:
+        """The words [k, n) of a run that are a name, by the text before it and the offset where found spans end."""
+        words = run.split(" ")
+        low = [w.lower() for w in words]
+        # a sentence may begin just before the name
+        k = next((i for i, w in enumerate(low[:-1]) if w in self.first), None)
+        if k is None:
+            return None
+        at = sum(len(w) + 1 for w in words[:k])
+        if at < free or _OTHER_NAME.search((before + run[:at])[-CAPTION:]):
+            return None
+        score = [self.first[low[k]], *(self.later.get(w, UNKNOWN_PART) for w in low[k + 1 :])]
+        while len(score) > 1 and score[-1] < 0:
+            score.pop()  # what follows a name in capitals isn't part of it
+        return (k, k + len(score)) if len(score) > 1 and sum(score) >= NAME_SCORE else None
+
+
+def _runs(text: str, taken: list[tuple[int, int, str]]) -> Iterator[tuple[int, int, int]]:
+    """Runs (start, end) of two to five words in capitals, each with the place where the last found span that
+    reaches into it ends, if two words at least stand behind that."""
+    spans = sorted(taken)  # disjoint, so that their ends are in order too
+    for m in _CAPITALS.finditer(text):
+        i = bisect.bisect_left(spans, (m.end(),))
+        free = spans[i - 1][1] if i else 0
+        if free <= _words_at(m.start(), m.group())[-2][0]:
+            yield m.start(), m.end(), free
+
+
+def _words_at(start: int, run: str) -> list[tuple[int, int]]:
+    """The spans of the words of a run that begins at ``start``."""
+    out = []
+    for w in run.split(" "):
+        out.append((start, start + len(w)))
+        start += len(w) + 1
+    return out
+
+
+def _words_seen(text: str, taken: list[tuple[int, int, str]]) -> tuple[str, str, str]:
+    """What the model is counted from, in small letters between blanks: first words of names found by title or
+    phrase, later words of these, and all other words in capitals."""
+    first, later, other, inside = [], [], [], bytearray(len(text))
+    for a, b, kind in taken:
+        if kind == "NAME":
             inside[a:b] = b"\x01" * (b - a)
-            for k, w in enumerate(tape[a:b].split()):
-                yield w.lower(), float(k == 0), float(k > 0), 0.0
-        for m in _CAPITAL.finditer(tape):
-            if not inside[m.start()]:
-                yield m.group().lower(), 0.0, 0.0, 1.0
-
-    counted = map_rows(texts, ["c"], "w string, first double, later double, other double", words)
-    counted = counted.groupBy("w").agg(*[F.sum(x).alias(x) for x in ("first", "later", "other")]).where("first + later >= 2").collect()
+            words = text[a:b].lower().split()
+            first += words[:1]
+            later += words[1:]
+    for m in _CAPITAL.finditer(text):
+        if not inside[m.start()]:
+            other.append(m.group().lower())
+    return " ".join(first), " ".join(later), " ".join(other)
+
+
+_SEEN = "first string, later string, other string"
+
+
+def fit_names(df: DataFrame, text_col: str) -> NameParts:
+    """The model of name parts, from all texts: names found by title or phrase against all other words in
+    capitals. The distinct words that stood in names twice at least come to the driver."""
+
+    def rows(text) -> Iterator[tuple]:  # noqa: ANN001
+        if text:
+            tape = tapes(text).text
+            yield _words_seen(tape, _detect(tape))
+
+    return _fit(map_rows(df, [text_col], _SEEN, rows))
+
+
+def _fit(seen: DataFrame) -> NameParts:
+    def of(place: str) -> Column:
+        return F.transform(F.split(place, " "), lambda w: F.struct(w.alias("w"), F.lit(place).alias("place")))
+
+    places = ("first", "later", "other")
+    words = seen.select(F.inline(F.concat(*map(of, places)))).where("w <> ''")
+    counted = words.groupBy("w").agg(*[F.count_if(F.col("place") == p).alias(p) for p in places])
+    counted = counted.where("first + later >= 2").collect()
     first = {r.w: math.log((r["first"] + 0.5) / (r["other"] + 0.5)) for r in counted if r["first"] > 1 and len(r.w) > 1}
     later = {r.w: math.log((r["later"] + 0.5) / (r["other"] + 0.5)) for r in counted if r["later"] > 0}
     return NameParts({w: x for w, x in first.items() if x > 0}, later)
 
 
+def _readings(df: DataFrame, id_col: str, text_col: str, whole: bool) -> DataFrame:
+    """All texts read once, a row each: spans found without the model (kinds between blanks, places), runs that
+    may be names, each with the text before it, the places they need, and the words that the model is counted
+    from. Texts themselves, and rows without any, only if ``whole``."""
+
+    def rows(key, text) -> Iterator[tuple]:  # noqa: ANN001
+        if not text:
+            if whole:
+                yield key, text, "", [], [], [], "", "", ""
+            return
+        tape = tapes(text)
+        taken = _detect(tape.text)
+        places, runs, needed = [], [], []
+        for a, b, _ in taken:
+            places += tape.back(a, b)
+        for start, end, free in _runs(tape.text, taken):
+            begin = max(0, start - CAPTION)
+            runs.append(tape.text[begin:end])
+            words = _words_at(start, tape.text[start:end])
+            needed += [start - begin, free - start, len(words)]
+            for a, b in words:
+                needed += tape.back(a, b)
+        yield key, text if whole else None, " ".join(kind for _, _, kind in taken), places, runs, needed, *_words_seen(tape.text, taken)
+
+    kind = df.schema[id_col].dataType.simpleString()
+    return map_rows(df, [id_col, text_col], f"id {kind}, body string, kinds string, places array<int>, runs array<string>, needed array<int>, {_SEEN}", rows)
+
+
+def _decided(parts: NameParts, kinds: str, places: np.ndarray, runs: np.ndarray, needed: np.ndarray) -> list[tuple[str, int, int]]:
+    """The spans of a text that was read, as those of ``find_pii``."""
+    at = places.tolist()
+    out = list(zip(kinds.split(), at[::2], at[1::2], strict=True))
+    needs = iter(needed.tolist())
+    for run in runs:
+        begin, free, n = next(needs), next(needs), next(needs)
+        words = [(next(needs), next(needs)) for _ in range(n)]
+        name = parts.name(run[:begin], run[begin:], free)
+        if name:
+            out.append(("NAME", words[name[0]][0], words[name[1] - 1][1]))
+    return sorted(out, key=lambda x: x[1:])
+
+
 def _slip_before(text: str, at: int) -> bool:
     """True if the caption before a number is that of a slip, specimen, batch, device or card."""
     return bool(_SLIP_BEFORE.search(text[max(0, at - NUMBER_CAPTION) : at].rsplit("\n", 1)[-1]))
@@ -490,26 +574,44 @@ def pii_spans(df: DataFrame, id_col: str, text_col: str, parts: NameParts | None
     repeated spans; spans never overlap (the first of e-mail, identity number, phone, address,
     name wins); other columns are not carried, so their names can't clash. Whole texts are read.
     """
+    kind = df.schema[id_col].dataType.simpleString()
+    schema = f"{id_col} {kind}, kind string, start_pos int, end_pos int"
+    if parts is None:
+        read_ = written(_readings(df, id_col, text_col, whole=False))
+        model = _fit(read_)
+
+        def decided(key, *columns) -> Iterator[tuple]:  # noqa: ANN001
+            for kind, a, b in _decided(model, *columns):
+                yield key, kind, a, b
 
-    parts = parts or fit_names(df, text_col)
+        some = read_.where("kinds <> '' or size(runs) > 0")
+        return map_rows(some, ["id", "kinds", "places", "runs", "needed"], schema, decided)
 
     def rows(key, text) -> Iterator[tuple]:  # noqa: ANN001
         if text:
             for kind, a, b in find_pii(text, parts):
                 yield key, kind, a, b
 
-    kind = df.schema[id_col].dataType.simpleString()
-    return map_rows(df, [id_col, text_col], f"{id_col} {kind}, kind string, start_pos int, end_pos int", rows)
+    return map_rows(df, [id_col, text_col], schema, rows)
 
 
 def redacted(df: DataFrame, id_col: str, text_col: str, parts: NameParts | None = None) -> DataFrame:
-    """Rows (id, text, n_found): every text with its personal information replaced; NULL stays NULL."""
+    """Rows (id, text, n_found): every text with its personal information replaced; NULL stays NULL. Without
+    ``parts`` the model of name parts is learnt from the texts, which are written with what was read."""
+    kind = df.schema[id_col].dataType.simpleString()
+    schema = f"{id_col} {kind}, text string, n_found int"
+    if parts is None:
+        read_ = written(_readings(df, id_col, text_col, whole=True))
+        model = _fit(read_)
+
+        def decided(key, text, *columns) -> Iterator[tuple]:  # noqa: ANN001
+            spans = _decided(model, *columns)
+            yield key, redact(text, spans) if text else text, len(spans)
 
-    parts = parts or fit_names(df, text_col)
+        return map_rows(read_, ["id", "body", "kinds", "places", "runs", "needed"], schema, decided)
 
     def rows(key, text) -> Iterator[tuple]:  # noqa: ANN001
         spans = find_pii(text, parts) if text else []
         yield key, redact(text, spans) if text else text, len(spans)
 
-    kind = df.schema[id_col].dataType.simpleString()
-    return map_rows(df, [id_col, text_col], f"{id_col} {kind}, text string, n_found int", rows)
+    return map_rows(df, [id_col, text_col], schema, rows)

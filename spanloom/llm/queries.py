@@ -10,7 +10,7 @@ from spanloom.llm.leakage import find_leaks
 from spanloom.llm.lookalike import learn, to_consistent
 from spanloom.llm.mapping import map_values
 from spanloom.llm.packing import pack_texts, packing_faults, packing_report
-from spanloom.llm.pii import fit_names, pii_spans, redacted
+from spanloom.llm.pii import pii_spans, redacted
 from spanloom.llm.sentences import sentence_units
 from spanloom.llm.splitting import split_oversized
 from spanloom.functions.text import WS
@@ -48,9 +48,8 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 def p1_rest(spark: SparkSession, d: str) -> DataFrame:
     """The length of every note, from its redacted form and the spans: nothing else is touched."""
     notes = read_table(spark, d, "input_notes").where("raw_text is not null").select("record_id", "raw_text").distinct()
-    parts = fit_names(notes, "raw_text")
-    spans = pii_spans(notes, "record_id", "raw_text", parts).groupBy("record_id").agg(F.sum(F.col("end_pos") - F.col("start_pos") - F.length("kind") - 2).alias("more"))
-    left = redacted(notes, "record_id", "raw_text", parts).join(spans, "record_id", "left")
+    spans = pii_spans(notes, "record_id", "raw_text").groupBy("record_id").agg(F.sum(F.col("end_pos") - F.col("start_pos") - F.length("kind") - 2).alias("more"))
+    left = redacted(notes, "record_id", "raw_text").join(spans, "record_id", "left")
     return left.select("record_id", (F.length("text") + F.coalesce("more", F.lit(0))).alias("n_chars"))
 
 

@@ -94,6 +94,34 @@ def test_names_by_their_parts(spark):
     assert names("Khám tại Bệnh viện Nguyễn Văn An, phố Trần Thị Lan") == [] and names("Chụp Cộng Hưởng Từ") == []
 
 
+def test_name_parts_are_counted_over_all_texts(spark):
+    rare = [f"{a}{b}" for a in ("Ka", "Mo", "Ti", "Se", "Ru") for b in ("lim", "dor", "vax", "pen", "gus", "hol", "zet", "nam")]
+    texts = [t for w in rare for t in (f"BN {w.title()} Vantor vào viện.", f"Ông {w.title()} Vantor kể.")] + [f"Khám Nội hôm nay, lần {i}." for i in range(5_000)]
+    untitled = [f"Gặp {w.title()} Vantor ở phòng khám" for w in rare]
+    df = spark.createDataFrame(list(enumerate(texts + untitled)), "id int, t string")
+    parts = pii.fit_names(df, "t")
+    odds = np.log(2.5 / 1.5)  # a first word of two names, once elsewhere
+    assert {w: round(x, 9) for w, x in parts.first.items()} == {w.lower(): round(odds, 9) for w in rare}
+    assert round(parts.later["vantor"], 9) == round(np.log(80.5 / 40.5), 9)
+    sure = df.unionByName(df.where(F.col("id") < 2 * len(rare)))  # said once more, the odds suffice
+    got = {(r["id"], r["start_pos"], r["end_pos"]) for r in pii.pii_spans(sure, "id", "t").collect()}
+    assert got >= {(len(texts) + i, 4, 4 + len(f"{w} Vantor")) for i, w in enumerate(rare)}
+
+
+def test_one_reading_finds_what_two_find(spark):
+    texts = ["BN Nguyễn Văn An vào viện.", "Ông Trần Văn Bình kể.", "Bà Trần Thị Bình ho.", "Chị Nguyễn Thị An sốt."] * 20 + [
+        "Gặp Nguyễn Văn An ở phòng khám, gọi không chín 12 ba bốn 5 sáu bảy tám; Trần Thị An về.",
+        "Gặp Ngu\u200byễn Va\u0306n An, ｔｈẻ BHYT QK-5-97-6894167951, rồi Trần Văn An Nguyễn Thị Bình",
+        "Khám tại Bệnh viện Nguyễn Văn An, phố Trần Thị Bình. Hôm Qua Nguyễn Thị An khám", "Chị Nguyễn Văn An Trần Thị Bình", "Nguyễn An", "", None,
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    parts = pii.fit_names(df, "t")
+    want = {(i, *s) for i, t in enumerate(texts) if t for s in pii.find_pii(t, parts)}
+    assert {tuple(r) for r in pii.pii_spans(df, "id", "t").collect()} == want
+    assert {(i, "NAME") for i in (80, 81, 82)} <= {w[:2] for w in want}
+    assert sorted(map(tuple, pii.redacted(df, "id", "t").collect())) == sorted(map(tuple, pii.redacted(df, "id", "t", parts).collect()))
+
+
 def test_pii_operator(spark):
     rows = [("1", "Chị Lan gọi 0912345678."), ("2", None), ("3", ""), (None, "Hộ chiếu Q1234567"), ("4", "x" * 300_000)]
     df = spark.createDataFrame([(*r, "c") for r in rows], "id string, body string, kind string")
